@@ -19,7 +19,8 @@ from clonarium.functions.ids import (
 )
 from clonarium.operators.aggregates import joined_distinct
 from clonarium.operators.intervals import interval_join
-from clonarium.operators.quality import duplicate_keys, key_set_difference, require_none
+from clonarium.operators.quality import CheckFailed, duplicate_keys, key_set_difference, require_none
+from clonarium.operators.reshape import packed
 from clonarium.operators.skew import lookup_join
 
 
@@ -112,6 +113,33 @@ def expression_table(counts: DataFrame, tpm: DataFrame, check_keys: bool = True)
     ).select("sample_name_hash", "_name.*", "gene_id", "counts", "tpm")
 
 
+def expression_from_matrices(counts: DataFrame, tpm: DataFrame, gene: str = "gene_id") -> DataFrame:
+    """The same table from the two wide matrices, joined before they are melted.
+
+    One row per gene goes through the join instead of one per gene and sample, and the
+    sample sets are compared by the column names alone.
+    """
+    samples = [c for c in counts.columns if c != gene]
+    differing = set(samples) ^ {c for c in tpm.columns if c != gene}
+    if differing:
+        raise CheckFailed(f"counts and tpm differ in samples {sorted(differing)[:5]}")
+    require_none(key_set_difference(counts, tpm, [gene]), f"counts and tpm differ in {gene}")
+    both = packed(counts, [gene], samples, "_counts").join(
+        packed(tpm, [gene], samples, "_tpm"), [gene], "full"
+    )
+    cells = F.arrays_zip(
+        F.lit(samples).alias("s"), F.col("_counts").alias("c"), F.col("_tpm").alias("t")
+    )
+    long = both.select(gene, F.explode(cells).alias("_cell"))
+    return long.select(
+        F.col("_cell.s").alias("sample_name_hash"),
+        parse_sample_name(F.col("_cell.s")).alias("_name"),
+        F.col(gene).alias("gene_id"),
+        F.col("_cell.c").alias("counts"),
+        F.col("_cell.t").alias("tpm"),
+    ).select("sample_name_hash", "_name.*", "gene_id", "counts", "tpm")
+
+
 def bands_per_gene(genes: DataFrame, bands: DataFrame) -> DataFrame:
     """Genes with the sorted names of the bands they overlap; '' without any.
 

@@ -12,7 +12,7 @@ from clonarium.functions.ids import build_tumour_id
 
 # Up to this many value columns ``unpivot`` is used; it plans one projection per
 # column, so wider matrices go through one array of columns instead.
-MAX_UNPIVOT_COLUMNS = 200
+MAX_UNPIVOT_COLUMNS = 32
 
 # Source column per lesion ({n} is the lesion number), tidy name.
 LESION_COLUMNS = {
@@ -44,22 +44,45 @@ def melt(
     """Wide matrix to (ids, variable, value); empty cells are kept."""
     if value_columns is None:
         value_columns = [c for c in df.columns if c not in set(id_columns)]
-    ids = [F.col(quoted(c)) for c in id_columns]
-    cells = [F.col(quoted(c)).cast(value_type).alias(c) for c in value_columns]
+    ids = [quoted(c) for c in id_columns]
     if len(value_columns) <= MAX_UNPIVOT_COLUMNS:
-        narrow = df.select(*ids, *cells)
-        return narrow.unpivot(
-            [quoted(c) for c in id_columns], [quoted(c) for c in value_columns], variable, value
+        cells = [f"{_as_type(df, c, value_type)} AS {quoted(c)}" for c in value_columns]
+        return df.selectExpr(*ids, *cells).unpivot(
+            ids, [quoted(c) for c in value_columns], variable, value
         )
-    pairs = F.arrays_zip(
-        F.array(*[F.lit(c) for c in value_columns]).alias("variable"),
-        F.array(*cells).alias("value"),
-    )
-    return df.select(*ids, F.explode(pairs).alias("_cell")).select(
-        *ids, F.col("_cell.variable").alias(variable), F.col("_cell.value").alias(value)
+    names = ", ".join(_text_literal(c) for c in value_columns)
+    return (
+        packed(df, id_columns, value_columns, "_cells", value_type)
+        .selectExpr(*ids, f"explode(arrays_zip(array({names}), _cells)) AS _cell")
+        .selectExpr(*ids, f"_cell.`0` AS {quoted(variable)}", f"_cell._cells AS {quoted(value)}")
     )
 
 
+def packed(
+    df: DataFrame,
+    id_columns: Sequence[str],
+    value_columns: Sequence[str],
+    out: str,
+    value_type: str = "double",
+) -> DataFrame:
+    """(ids, one array of the value columns).
+
+    The row is one SQL expression, as thousands of Column objects are slow to build.
+    """
+    cells = ", ".join(_as_type(df, c, value_type) for c in value_columns)
+    return df.selectExpr(*[quoted(c) for c in id_columns], f"array({cells}) AS {quoted(out)}")
+
+
+def _as_type(df: DataFrame, name: str, kind: str) -> str:
+    if df.schema[name].dataType.simpleString() == kind:
+        return quoted(name)
+    return f"cast({quoted(name)} AS {kind})"
+
+
+def _text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def numbered_groups_to_rows(
     df: DataFrame,
     id_columns: Sequence[str],

@@ -28,7 +28,7 @@ from clonarium.functions.labels import (
 from clonarium.operators.aggregates import best_score_per_variant, gene_extents, paired_normals
 from clonarium.operators.joins import (
     bands_per_gene,
-    expression_table,
+    expression_from_matrices,
     require_one_to_one,
     with_convention,
 )
@@ -40,7 +40,7 @@ from clonarium.operators.quality import (
     require_none,
     unexpected_values,
 )
-from clonarium.operators.reshape import lesions_to_tumours, melt, renamed
+from clonarium.operators.reshape import lesions_to_tumours, renamed
 from clonarium.operators.trees import clone_tree_table
 from clonarium.plans import contracts as c
 from clonarium.sources.bundles import bundle_rows, read_bundles, split_bundles
@@ -145,11 +145,8 @@ def copy_number(spark: SparkSession, path: str) -> DataFrame:
 
 def expression(spark: SparkSession, counts_path: str, tpm_path: str) -> DataFrame:
     """One row per sample and gene, from two wide matrices with the same genes and samples."""
-    counts, tpm = (
-        melt(read_parquet_columns(spark, path, ["gene_id"]), ["gene_id"], None, "sample_name_hash", name)
-        for path, name in ((counts_path, "counts"), (tpm_path, "tpm"))
-    )
-    return expression_table(counts, tpm)
+    counts, tpm = (read_parquet_columns(spark, p, ["gene_id"]) for p in (counts_path, tpm_path))
+    return expression_from_matrices(counts, tpm)
 
 
 def normals_per_patient(long_expression: DataFrame) -> DataFrame:

@@ -28,9 +28,12 @@ def local_session(cores: int | str = "*", app_name: str = "clonarium") -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the call site of every Column makes wide plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -27,12 +27,9 @@ def melt_matrix(t):
 """)
 def melt_wide_matrix(t):
     """300 sample columns with dotted names, some cells empty."""
-    wide = t.part.select(
+    wide = t.part.selectExpr(
         "p_partkey",
-        *[
-            F.expr(f"if((p_partkey + {i}) % 10 > 0, double((p_partkey * {i}) % 97), null)").alias(f"s.{i}")
-            for i in range(300)
-        ],
+        *[f"if((p_partkey + {i}) % 10 > 0, double((p_partkey * {i}) % 97), null) AS `s.{i}`" for i in range(300)],
     )
     long = reshape.melt(wide, ["p_partkey"], variable="sample")
     return long.groupBy("sample").agg(
@@ -81,7 +78,7 @@ def lesion_unpivot(t):
 
 
 @query("""
-    WITH lists AS (SELECT c_custkey, c_custkey % 4 + 1 AS n, CASE WHEN c_custkey % 10 = 0 THEN c_custkey % 4 ELSE c_custkey % 4 + 1 END AS m FROM customer)
+    WITH lists AS (SELECT c_custkey, c_custkey % 4 + 1 AS n, CASE WHEN c_custkey % 10 = 0 THEN greatest(c_custkey % 4, 1) ELSE c_custkey % 4 + 1 END AS m FROM customer)
     SELECT c_custkey, CAST(i AS INTEGER) AS position, 'c' || (c_custkey + i) AS clonality,
            CASE WHEN i < m THEN 'p' || (c_custkey * 2 + i) END AS phyletic
     FROM lists, range(4) r(i) WHERE i < n AND c_custkey % 6 > 0
@@ -91,7 +88,7 @@ def paired_list_explode(t):
         "c_custkey",
         "if(c_custkey % 6 = 0, null, array_join(transform(sequence(0, c_custkey % 4), i -> 'c' || (c_custkey + i)), ';')) AS clonalities",
         """array_join(transform(slice(sequence(0, 9), 1,
-               int(if(c_custkey % 10 = 0, c_custkey % 4, c_custkey % 4 + 1))), i -> 'p' || (c_custkey * 2 + i)), ';') AS phyletics""",
+               int(if(c_custkey % 10 = 0, greatest(c_custkey % 4, 1), c_custkey % 4 + 1))), i -> 'p' || (c_custkey * 2 + i)), ';') AS phyletics""",
     )
     return reshape.paired_lists_to_rows(
         lists.where("clonalities IS NOT NULL"), {"clonalities": "clonality", "phyletics": "phyletic"}
