@@ -33,6 +33,7 @@ def heavy_keys(df: DataFrame, on: Sequence[str], share: float = HEAVY_SHARE) ->
     """The keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them.
 
     Counting combines map side, so a heavy key reaches the shuffle as one row per task.
+    A key with null parts counts like any other.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
@@ -52,14 +53,15 @@ def lookup_join(
     """Join facts, whose keys may be skewed, to a lookup (``inner`` or ``left``).
 
     * A lookup below the broadcast threshold is left to Catalyst, which broadcasts it.
-    * Otherwise the facts are split by key. Heavy keys meet only their own lookup
-      rows, which are counted and broadcast, so the heavy facts are not shuffled;
-      all other keys take the shuffle join. Rows without a full key match nothing
-      and skip the shuffle as well.
-    * Should the heavy keys own too many lookup rows, everything takes the shuffle
-      join, whose oversized partitions Spark splits at run time.
-
-    ``on`` columns come first in the result, as with ``DataFrame.join(on=...)``.
+    * Otherwise the heavy keys are found. Facts of a heavy key meet only that key's
+      lookup rows, which are counted and broadcast, so these facts are not shuffled;
+      all other keys take the shuffle join. Should the heavy keys own too many lookup
+      rows, they take the shuffle join as well, whose oversized partitions Spark
+      splits at run time.
+    * If many facts lack a key, they skip the left join, as they can match nothing.
+
+    The facts are read once per branch, so an expensive input should be a written
+    table. ``on`` columns come first in the result, as with ``DataFrame.join(on=...)``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join does inner and left joins, not {how!r}")
@@ -67,21 +69,22 @@ def lookup_join(
     if fits_broadcast(lookup, limit):
         return facts.join(lookup, on, how)
 
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    keyed = facts.where(complete)
-    heavy_rows = heavy_keys(keyed, on, share)
-    heavy = F.broadcast(facts.sparkSession.createDataFrame(heavy_rows, keyed.select(*on).schema))
-    heavy_lookup = lookup.join(heavy, on, "left_semi")
-    if not heavy_rows or heavy_lookup.limit(max_rows + 1).count() > max_rows:
-        parts = [keyed.join(lookup, on, how)]
-    else:
-        parts = [
-            keyed.join(heavy, on, "left_anti").join(lookup, on, how),
-            keyed.join(heavy, on, "left_semi").join(F.broadcast(heavy_lookup), on, how),
+    found = heavy_keys(facts, on, share)
+    whole = [r for r in found if None not in r]
+    parts, rest = [], facts
+    if whole:
+        heavy = F.broadcast(facts.sparkSession.createDataFrame(whole, facts.select(*on).schema))
+        heavy_lookup = lookup.join(heavy, on, "left_semi")
+        if heavy_lookup.limit(max_rows + 1).count() <= max_rows:
+            hot = facts.join(heavy, on, "left_semi")
+            parts.append(hot.join(F.broadcast(heavy_lookup), on, how))
+            rest = facts.join(heavy, on, "left_anti")
+    if how == "left" and len(whole) < len(found):
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+        others = [c for c in facts.columns if c not in on]
+        nulls = [
+            F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in lookup.columns if c not in on
         ]
-    if how == "left":
-        extra = [c for c in lookup.columns if c not in on]
-        nulls = [F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in extra]
-        rest = [c for c in facts.columns if c not in on]
-        parts.append(facts.where(~complete).select(*on, *rest, *nulls))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(facts.where(~complete).select(*on, *others, *nulls))
+        rest = rest.where(complete)
+    return reduce(DataFrame.unionByName, parts, rest.join(lookup, on, how))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clonarium.functions.clones import clone_from_number, clone_from_text, clone_prefixed
@@ -91,10 +91,14 @@ def clone_tree(spark: SparkSession, path: str) -> DataFrame:
     return clone_tree_table(df)
 
 
-def variant_scores(spark: SparkSession, path: str) -> DataFrame:
-    """One row per tumour and variant, from one annotated file per tumour."""
+def variant_scores(spark: SparkSession, path: str, key: Column | None = None) -> DataFrame:
+    """One row per tumour and variant, from one annotated file per tumour.
+
+    The tumour comes from the file name, unless ``key`` takes it from ``path`` otherwise.
+    """
+    key = key_from_file_name(SCORE_FILE) if key is None else key
     raw = read_entity_columns(
-        spark, path, key_from_file_name(SCORE_FILE), c.SCORE_SOURCE, key="tumour_id", markers=MARKERS_SCORES
+        spark, path, key, c.SCORE_SOURCE, key="tumour_id", markers=MARKERS_SCORES
     )
     scores = raw.select(
         strict_tumour_id(F.col("tumour_id")).alias("tumour_id"),

@@ -80,6 +80,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of input a shuffle partition should start from, and the most partitions.
+SHUFFLE_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for the input; returns their number.
+
+    Spark merges small partitions at run time but never starts more than it is told to,
+    and the default of 200 would mean half a terabyte each for 100 TB.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, max(least, -(-input_bytes // SHUFFLE_BYTES)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; for the end of a job."""
+    app = spark.sparkContext.applicationId
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SCRATCH.get(app)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{app}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of the optimised plan, the one it broadcasts by."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

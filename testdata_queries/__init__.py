@@ -7,6 +7,7 @@ from testdata_queries import (  # noqa: F401  (importing a module registers its
     expressions,
     files,
     intervals,
+    jobs,
     named_joins,
     shapes,
     summaries,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
 from clonarium.operators.skew import fits_broadcast, heavy_keys, lookup_join
-from clonarium.session import broadcast_limit, estimated_bytes
+from clonarium.session import broadcast_limit, estimated_bytes, size_shuffles
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +43,14 @@ def test_heavy_keys_are_few(facts):
     assert [r.k for r in heavy_keys(facts.dropna(), ["k"], 0.1)] == ["hot"]
 
 
+def test_many_facts_without_key(spark, lookup, rows):
+    sparse = spark.createDataFrame([(None if i % 2 else f"k{i % 8}", i) for i in range(300)], "k string, v int")
+    for how in ("inner", "left"):
+        got = lookup_join(sparse, lookup, ["k"], how, limit=0, share=0.3)
+        assert rows(got) == rows(sparse.join(lookup, ["k"], how))
+        assert got.count() == (150 if how == "inner" else 300)
+
+
 def test_heavy_facts_are_not_shuffled(facts, lookup):
     split = lookup_join(facts, lookup, ["k"], "inner", limit=0, share=0.1)
     plan = split._jdf.queryExecution().executedPlan().toString()
@@ -65,6 +73,16 @@ def test_broadcast_limit_reads_units(spark, lookup):
     assert estimated_bytes(lookup) > 0 and not fits_broadcast(lookup, 0)
 
 
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 10 << 30) == 80 == int(spark.conf.get(key))
+        assert size_shuffles(spark, 100 << 40) == 100_000
+    finally:
+        spark.conf.unset(key)
+
+
 def _random_intervals(spark, rng, n, prefix, widest):
     data = []
     for i in range(n):
