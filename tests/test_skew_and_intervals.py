@@ -1,5 +1,6 @@
 """The skew-safe join and the interval joins against brute force."""
 
+import gzip
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
 from clonarium.operators.skew import fits_broadcast, heavy_keys, lookup_join
 from clonarium.session import broadcast_limit, estimated_bytes, size_shuffles
+from clonarium.sources.chain import read_chain
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +174,22 @@ def test_liftover(spark, rows):
     coverage = mapping_coverage(lookup, lifted).first()
     assert (coverage.n_loci, coverage.n_loci_mapped, coverage.n_rows, coverage.n_rows_mapped) == (5, 3, 6, 4)
     assert round(coverage.pct_loci, 1) == 60.0
+
+
+def test_liftover_through_a_chain_file(spark, rows, tmp_path):
+    (tmp_path / "a.chain.gz").write_bytes(
+        gzip.compress(
+            b"# comment\nchain 500 chr1 1000 + 100 160 chr2 900 + 40 105 1\n20 10 5\n30\n\n"
+            b"chain 90 chrX 300 + 0 10 chrX 200 - 50 60 2\n10\n"
+        )
+    )
+    blocks = read_chain(spark, str(tmp_path / "a.chain.gz"))
+    assert rows(blocks) == [
+        ("chr1", 100, 120, "chr2", 40, "+", 500.0),
+        ("chr1", 130, 160, "chr2", 65, "+", 500.0),
+        ("chrX", 0, 10, "chrX", 149, "-", 90.0),
+    ]
+    loci = spark.createDataFrame([("1", 101), ("1", 120), ("1", 125), ("1", 131), ("X", 3)], "chr string, pos long")
+    assert rows(lift_loci(loci, blocks), "chr", "pos", "new_chr", "new_pos") == [
+        ("1", 101, "2", 41), ("1", 120, "2", 60), ("1", 125, None, None), ("1", 131, "2", 66), ("X", 3, "X", 148),
+    ]

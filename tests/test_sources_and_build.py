@@ -1,6 +1,7 @@
 """Builds from small source files in the formats of the cohort release."""
 
 import gzip
+import hashlib
 import json
 
 import pytest
@@ -259,7 +260,11 @@ def test_provenance(spark, store, sources):
     saved = spark.read.parquet(f"{store[0]}/_provenance.parquet")
     assert saved.where("length(sha256) = 64").count() == saved.count() > 15
     one = source_provenance(spark, sources.drivers).first()
-    assert one.n_bytes == len(DRIVERS)
+    assert one.n_bytes == len(DRIVERS) and one.line_digest is None
+    assert one.sha256 == hashlib.sha256(DRIVERS.encode()).hexdigest()
+    large = source_provenance(spark, sources.drivers, max_bytes=10).collect()
+    assert [(r.path, r.n_bytes, r.sha256) for r in large] == [(one.path, one.n_bytes, None)]
+    assert large[0].line_digest.startswith("3:")
 
 
 def test_write_table_sorts_by_key(spark, tmp_path):
