@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,15 +73,28 @@ def read_delimited(
 ) -> DataFrame:
     """A typed table from one file, or from several files with the same header.
 
-    ``partitions`` spreads the rows of a gzip file, which Spark can only read in one
-    task, before any further work is done on them.
+    ``partitions`` is for gzip files, which Spark can only unpack in one task each: the
+    lines are spread over that many tasks first and taken apart there.
     """
     text = read_text_columns(spark, path, sep, names)
     if partitions:
-        text = text.repartition(partitions)
+        text = _spread_lines(text, path, sep, partitions, has_header=names is None)
     return (typed_all if keep_others else typed)(text, types, markers)
 
 
+def _spread_lines(
+    columns: DataFrame, path: str | list[str], sep: str, partitions: int, has_header: bool
+) -> DataFrame:
+    """The columns of ``read_text_columns``, parsed after the lines are spread over tasks."""
+    lines = columns.sparkSession.read.text(path).where(F.trim("value") != "").repartition(partitions)
+    schema = ", ".join(f"{quoted(c)} string" for c in columns.columns)
+    parsed = lines.select(F.from_csv("value", schema, {"sep": sep, "maxColumns": "1000000"}).alias("r")).select("r.*")
+    if not has_header:
+        return parsed
+    is_header = reduce(lambda a, b: a & b, [F.col(quoted(c)).eqNullSafe(c) for c in columns.columns])
+    return parsed.where(~is_header)
+
+
 def read_parquet_columns(spark: SparkSession, path: str, needed: Sequence[str] = ()) -> DataFrame:
     """A Parquet table that must have the named columns."""
     df = spark.read.parquet(path)

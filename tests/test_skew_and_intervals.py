@@ -132,6 +132,28 @@ def test_points_against_nested_loop(spark, rows, end_open, limit):
     assert rows(got, "pid", "rid") == rows(brute, "pid", "rid")
 
 
+def test_grids_follow_the_counts():
+    assert intervals._grid_per_class({}, 5) == {}
+    assert intervals._grid_per_class({3: 10}, 0) == {3: 3}
+    # few long intervals share the fine grid, many get their own
+    assert intervals._grid_per_class({2: 1000, 3: 10, 5: 1}, 10_000) == {2: 2, 3: 2, 5: 2}
+    assert intervals._grid_per_class({2: 1000, 3: 9000, 4: 10}, 10_000) == {2: 2, 3: 3, 4: 3}
+    # never over an unbounded number of bins
+    assert intervals._grid_per_class({0: 1, 9: 1}, 10**15) == {0: 0, 9: 9}
+
+
+@pytest.mark.parametrize("n_points", [20, 3000])
+def test_points_in_few_long_intervals(spark, rows, n_points):
+    rng = random.Random(9)
+    points = spark.createDataFrame([("a", i, rng.randint(0, 100_000)) for i in range(n_points)], "chr string, pid int, pos long")
+    data = [("a", i, s, s + rng.randint(0, 30)) for i, s in enumerate(rng.sample(range(100_000), 300))]
+    data += [("a", 1000 + i, s, s + 40_000) for i, s in enumerate((5, 30_000, 59_999))]
+    right = spark.createDataFrame(data, "chr string, rid int, rs long, re long")
+    brute = points.join(right.withColumnRenamed("chr", "c2"), F.col("pos").between(F.col("rs"), F.col("re")))
+    got = intervals.point_join(points, right, ["chr"], "pos", ("rs", "re"))
+    assert rows(got, "pid", "rid") == rows(brute, "pid", "rid")
+
+
 def test_touching_ends(spark, rows):
     segments = spark.createDataFrame([("1", 10, 20)], "chr string, segment_start long, segment_end long")
     genes = spark.createDataFrame(
