@@ -1,4 +1,8 @@
-"""From source files to canonical tables, one function per table."""
+"""From source files to canonical tables, one function per table.
+
+A table that is checked before it is returned, or read more than once on the way, is
+written to a scratch table first, so that its source is parsed once.
+"""
 
 from __future__ import annotations
 
@@ -43,6 +47,7 @@ from clonarium.operators.quality import (
 from clonarium.operators.reshape import lesions_to_tumours, renamed
 from clonarium.operators.trees import clone_tree_table
 from clonarium.plans import contracts as c
+from clonarium.session import materialize
 from clonarium.sources.bundles import bundle_rows, read_bundles, split_bundles
 from clonarium.sources.delimited import (
     MARKERS_NAN,
@@ -88,7 +93,7 @@ def mutations(spark: SparkSession, path: str, partitions: int | None = None) ->
 def clone_tree(spark: SparkSession, path: str) -> DataFrame:
     """One row per tumour and clone, with row flags and the sum along its ancestors."""
     df = read_delimited(spark, path, c.CLONE_TREE_SOURCE, markers=MARKERS_NAN)
-    return clone_tree_table(df)
+    return clone_tree_table(materialize(df, "clone-tree"))
 
 
 def variant_scores(spark: SparkSession, path: str, key: Column | None = None) -> DataFrame:
@@ -170,7 +175,7 @@ def id_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     """One row per patient; both ids checked for form and uniqueness."""
     types = dict.fromkeys(c.CROSSWALK_NAMES, "string")
     df = renamed(read_delimited(spark, path, types, sep=",", markers=MARKERS_NAN), c.CROSSWALK_NAMES)
-    df = df.select(*[trimmed(F.col(n)).alias(n) for n in df.columns])
+    df = materialize(df.select(*[trimmed(F.col(n)).alias(n) for n in df.columns]), "id-crosswalk")
     for column, pattern in (("ltx_patient_id", LTX_PATIENT), ("cruk_patient_id", CRUK_PATIENT)):
         require_none(malformed(df, column, pattern), f"id_crosswalk: bad {column}")
     require_one_to_one(df, df.columns)
@@ -189,7 +194,7 @@ def clone_flags(spark: SparkSession, path: str, crosswalk: DataFrame, convention
         clone_from_text(F.col("clone"), null_fails=True).alias("clone"),
         *[lenient_boolean(F.col(f)).alias(f) for f in flags],
     )
-    df = with_convention(df, crosswalk, convention)
+    df = materialize(with_convention(df, crosswalk, convention), "clone-flags")
     require_none(duplicate_keys(df, ["tumour_id", "clone"]), "clone_flags: duplicate (tumour_id, clone)")
     return df
 
@@ -200,7 +205,7 @@ def seeding(spark: SparkSession, path: str, crosswalk: DataFrame, convention: st
     require_columns(text, c.SEEDING_NAMES, "seeding")
     types = {**dict.fromkeys(["tumour_id", *c.SEEDING_NAMES], "string"), "nRegions": "bigint"}
     df = renamed(read_delimited(spark, path, types, sep=" ", markers=MARKERS_NAN), c.SEEDING_NAMES)
-    df = with_convention(df, crosswalk, convention)
+    df = materialize(with_convention(df, crosswalk, convention), "seeding")
     require_none(duplicate_keys(df, ["tumour_id"]), "seeding: duplicate tumour_id")
     lists = ["individual_seeding_clonality", "individual_seeding_phyletic"]
     require_none(
@@ -239,7 +244,7 @@ def gene_reference(
         F.col("chromEnd").alias("band_end"),
         "band_name",
     )
-    return bands_per_gene(genes, bands).select(
+    return bands_per_gene(materialize(genes, "genes"), bands).select(
         "gene_name",
         canonical_chromosome(F.col("chromosome")).alias("chromosome"),
         "start",
@@ -263,6 +268,7 @@ def region_tables(
             "region",
             F.col(matrix).cast(kind).alias(matrix),
         )
+        rows = materialize(rows, f"region-{matrix}")
         require_none(
             duplicate_keys(rows, ["tumour_id", "clone", "region"]),
             f"{matrix}: duplicate (tumour_id, clone, region)",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clonarium.functions.genome import on_primary_assembly
 from clonarium.operators import intervals, joins, liftover
 from clonarium.operators.aggregates import gene_extents
+from clonarium.session import materialize
 from testdata_queries.registry import query
 
 _GENES = """
@@ -31,7 +32,7 @@ def _genes(t):
         "if(l_partkey % 2 = 0, '+', '-') AS strand",
         "l_orderkey AS line_no",
     )
-    return gene_extents(transcripts.where(on_primary_assembly(F.col("chromosome"))))
+    return materialize(gene_extents(transcripts.where(on_primary_assembly(F.col("chromosome")))), "genes")
 
 
 def _bands(t):
