@@ -52,7 +52,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts, whose keys may be skewed, to a lookup (``inner`` or ``left``).
 
-    * A lookup below the broadcast threshold is left to Catalyst, which broadcasts it.
+    * A lookup below the broadcast threshold, or facts below it in an inner join, are
+      left to Catalyst, which broadcasts them.
     * Otherwise the heavy keys are found. Facts of a heavy key meet only that key's
       lookup rows, which are counted and broadcast, so these facts are not shuffled;
       all other keys take the shuffle join. Should the heavy keys own too many lookup
@@ -66,7 +67,7 @@ def lookup_join(
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join does inner and left joins, not {how!r}")
     on = list(on)
-    if fits_broadcast(lookup, limit):
+    if fits_broadcast(lookup, limit) or how == "inner" and fits_broadcast(facts, limit):
         return facts.join(lookup, on, how)
 
     found = heavy_keys(facts, on, share)

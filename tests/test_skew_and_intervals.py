@@ -99,8 +99,9 @@ def _random_intervals(spark, rng, n, prefix, widest):
 
 @pytest.mark.parametrize("left_open", [False, True])
 @pytest.mark.parametrize("right_open", [False, True])
-@pytest.mark.parametrize("limit", [None, 0])
-def test_overlap_against_nested_loop(spark, rows, left_open, right_open, limit):
+@pytest.mark.parametrize("limit, per_key", [(None, 0), (0, 0), (0, 10**6)])
+def test_overlap_against_nested_loop(spark, rows, monkeypatch, left_open, right_open, limit, per_key):
+    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
     rng = random.Random(7)
     left, right = _random_intervals(spark, rng, 250, "l", 9), _random_intervals(spark, rng, 200, "r", 13)
     starts = F.col("ls") < F.col("re") if right_open else F.col("ls") <= F.col("re")
@@ -115,8 +116,9 @@ def test_overlap_against_nested_loop(spark, rows, left_open, right_open, limit):
 
 
 @pytest.mark.parametrize("end_open", [False, True])
-@pytest.mark.parametrize("limit", [None, 0])
-def test_points_against_nested_loop(spark, rows, end_open, limit):
+@pytest.mark.parametrize("limit, per_key", [(None, 0), (0, 0), (0, 10**6)])
+def test_points_against_nested_loop(spark, rows, monkeypatch, end_open, limit, per_key):
+    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
     rng = random.Random(8)
     points = spark.createDataFrame(
         [(rng.choice("ab"), i, 4711 if i % 3 == 0 else rng.randint(-500, 20_000)) for i in range(300)]
@@ -154,7 +156,9 @@ def test_points_in_few_long_intervals(spark, rows, n_points):
     assert rows(got, "pid", "rid") == rows(brute, "pid", "rid")
 
 
-def test_touching_ends(spark, rows):
+@pytest.mark.parametrize("per_key", [0, 64])
+def test_touching_ends(spark, rows, monkeypatch, per_key):
+    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
     segments = spark.createDataFrame([("1", 10, 20)], "chr string, segment_start long, segment_end long")
     genes = spark.createDataFrame(
         [("1", "before", 1, 10), ("1", "first", 1, 11), ("1", "last", 20, 25), ("1", "after", 21, 25)],
@@ -165,6 +169,12 @@ def test_touching_ends(spark, rows):
     assert rows(intervals.mutations_in_segments(mutations, segments, ["chr"]), "pos") == [(10,), (20,)]
 
 
+def test_without_key_columns(spark, rows):
+    points = spark.createDataFrame([(5,), (50,)], "pos long")
+    some = spark.createDataFrame([(1, 9), (5, 5), (60, 70)], "s long, e long")
+    assert rows(intervals.point_join(points, some, [], "pos", ("s", "e"))) == [(5, 1, 9), (5, 5, 5)]
+
+
 def test_no_intervals_at_all(spark):
     points = spark.createDataFrame([("1", 5)], "chr string, pos long")
     none = spark.createDataFrame([], "chr string, s long, e long")
