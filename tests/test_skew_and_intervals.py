@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
-from clonarium.operators.skew import fits_broadcast, heavy_keys, lookup_join
+from clonarium.operators.skew import fits_broadcast, heavy_hashes, lookup_join
 from clonarium.session import broadcast_limit, estimated_bytes, size_shuffles
 from clonarium.sources.chain import read_chain
 
@@ -41,8 +41,34 @@ def test_lookup_join_with_repeated_lookup_keys(facts, lookup, rows):
     assert rows(got) == rows(facts.join(doubled, ["k"]))
 
 
-def test_heavy_keys_are_few(facts):
-    assert [r.k for r in heavy_keys(facts.dropna(), ["k"], 0.1)] == ["hot"]
+def test_heavy_keys_are_few(spark, facts):
+    hot = spark.sql("SELECT xxhash64('hot')").first()[0]
+    assert heavy_hashes(facts, ["k"], 0.1) == ([hot], False)
+    assert heavy_hashes(facts.limit(0), ["k"], 0.1) == ([], False)
+    assert heavy_hashes(facts.selectExpr("string(null) AS k"), ["k"], 0.1) == ([], True)
+    # evenly spread keys: none is heavy, however many there are
+    assert heavy_hashes(spark.range(50_000), ["id"]) == ([], False)
+
+
+def test_no_heavy_key_is_missed(spark):
+    many = spark.range(200_000).selectExpr("if(id % 4 = 0, id % 100, id) AS k")
+    heavy, _ = heavy_hashes(many, ["k"])
+    expected = spark.range(100).where("id % 4 = 0").selectExpr("xxhash64(id)")
+    assert sorted(heavy) == sorted(r[0] for r in expected.collect())
+
+
+def test_lookup_key_of_another_type(spark, rows):
+    small = spark.createDataFrame([(7 if i % 2 else i, i) for i in range(100)], "k int, v int")
+    wide = spark.createDataFrame([(7, "a"), (8, "b"), (1 << 40, "c")], "k long, w string")
+    for how in ("inner", "left"):
+        got = lookup_join(small, wide, ["k"], how, limit=0, share=0.1)
+        assert rows(got) == rows(small.join(wide, ["k"], how))
+
+
+def test_floating_keys_are_left_alone(spark, rows):
+    facts = spark.createDataFrame([(0.0, 1)] * 5, "k double, v int")
+    lookup = spark.createDataFrame([(-0.0, "zero")], "k double, w string")
+    assert lookup_join(facts, lookup, ["k"], "inner", limit=0, share=0.1).count() == 5
 
 
 def test_many_facts_without_key(spark, lookup, rows):
