@@ -20,7 +20,7 @@ from clonarium.functions.ids import (
 from clonarium.operators.aggregates import joined_distinct
 from clonarium.operators.intervals import interval_join
 from clonarium.operators.quality import CheckFailed, duplicate_keys, key_set_difference, require_none
-from clonarium.operators.reshape import packed
+from clonarium.operators.reshape import packed, text_array
 from clonarium.operators.skew import lookup_join
 
 
@@ -128,7 +128,7 @@ def expression_from_matrices(counts: DataFrame, tpm: DataFrame, gene: str = "gen
         packed(tpm, [gene], samples, "_tpm"), [gene], "full"
     )
     cells = F.arrays_zip(
-        F.lit(samples).alias("s"), F.col("_counts").alias("c"), F.col("_tpm").alias("t")
+        F.expr(text_array(samples)).alias("s"), F.col("_counts").alias("c"), F.col("_tpm").alias("t")
     )
     long = both.select(gene, F.explode(cells).alias("_cell"))
     return long.select(

@@ -50,10 +50,10 @@ def melt(
         return df.selectExpr(*ids, *cells).unpivot(
             ids, [quoted(c) for c in value_columns], variable, value
         )
-    names = ", ".join(_text_literal(c) for c in value_columns)
+    names = text_array(value_columns)
     return (
         packed(df, id_columns, value_columns, "_cells", value_type)
-        .selectExpr(*ids, f"explode(arrays_zip(array({names}), _cells)) AS _cell")
+        .selectExpr(*ids, f"explode(arrays_zip({names}, _cells)) AS _cell")
         .selectExpr(*ids, f"_cell.`0` AS {quoted(variable)}", f"_cell._cells AS {quoted(value)}")
     )
 
@@ -79,8 +79,10 @@ def _as_type(df: DataFrame, name: str, kind: str) -> str:
     return f"cast({quoted(name)} AS {kind})"
 
 
-def _text_literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def text_array(values: Sequence[str]) -> str:
+    """SQL for a constant array of texts."""
+    escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return "array(" + ", ".join(f"'{v}'" for v in escaped) + ")"
 
 
 def numbered_groups_to_rows(
