@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
-from clonarium.session import local_session
+from clonarium.session import clear_scratch, local_session
 from testdata_queries import QUERIES
 
 HEADLINE = [
@@ -41,11 +42,13 @@ def run(name: str, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, "clonarium-bench")
+    scratch = tempfile.mkdtemp(prefix="clonarium-bench-")  # one machine: driver and executors share it
+    spark = local_session(scratch, cpus, "clonarium-bench")
     spark.conf.set("spark.sql.shuffle.partitions", cpus)
     run("scan_parquet", spark, sf_dir)  # starts the JVM side
     names = sys.argv[1:] or HEADLINE
     seconds = {name: round(run(name, spark, sf_dir), 3) for name in names}
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

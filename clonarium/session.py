@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +21,8 @@ RUNTIME_SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", app_name: str = "clonarium") -> SparkSession:
-    """A single-machine session for tests and bench runs."""
+def local_session(scratch: str, cores: int | str = "*", app_name: str = "clonarium") -> SparkSession:
+    """A single-machine session for tests and bench runs; ``scratch`` holds intermediate tables."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -32,6 +31,7 @@ def local_session(cores: int | str = "*", app_name: str = "clonarium") -> SparkS
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", scratch)
         # Recording the call site of every Column makes wide plans slow to build.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -47,25 +47,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables.
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table.
-
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so
-    that it outlives any executor. A machine-local folder is used only where that
-    setting is missing and Spark runs on one machine.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so that the
+    tables outlive any executor; where that is unset, as in tests, in the warehouse.
     """
-    app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if app not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="clonarium-")
-        base = _LOCAL_SCRATCH[app]
-    return f"{base.rstrip('/')}/{app}/{name}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -99,11 +95,8 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; for the end of a job."""
-    app = spark.sparkContext.applicationId
-    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SCRATCH.get(app)
-    if base:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{app}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -7,12 +7,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from clonarium.session import local_session
+def spark(tmp_path_factory):
+    from clonarium.session import clear_scratch, local_session
 
-    session = local_session(4, "clonarium-tests")
+    session = local_session(str(tmp_path_factory.mktemp("scratch")), 4, "clonarium-tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
