@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clonarium.llm import packing, token_counts, token_files
+from clonarium.llm import packing, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +30,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget_answers(counted, TOKEN_LIMIT)
 
 
+@register
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 100-byte strings that also start earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    sizes = F.transform("spans", lambda s: s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents' ids as bit-plane files and read every document back."""
