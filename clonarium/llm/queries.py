@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import packing, suffix_dedup, token_counts, token_files
+from clonarium.llm import decontaminate, packing, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,23 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget_answers(counted, TOKEN_LIMIT)
 
 
+@register
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark windows that occur in them."""
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    sizes = F.transform("runs", lambda r: r["end"] - r["begin"])
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
+    )
+
+
 @register
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that also start earlier."""
