@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import decontaminate, packing, suffix_dedup, token_counts, token_files
+from clonarium.llm import decontaminate, packing, simhash_dedup, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +47,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @register
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 100-byte strings that also start earlier."""
