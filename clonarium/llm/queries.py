@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import decontaminate, embedding_dedup, packing, simhash_dedup, suffix_dedup, token_counts, token_files
+from clonarium.llm import decontaminate, embedding_dedup, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,26 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs).select("doc_id", "pii")
+    base = ("email", "ip", "card", "phone")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(k) for k in base),
+        F.sha2(pii.listing(F.filter("pii", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        pii.listing(F.col("pii")).alias("spans"),
+        number("iban"),
+        F.aggregate("pii", F.lit(0.0), lambda top, s: F.greatest(top, s["score"])).alias("top_score"),
+    )
+
+
 @register
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
