@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import decontaminate, embedding_dedup, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
+from clonarium.llm import decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,25 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget_answers(counted, TOKEN_LIMIT)
 
 
+def _held_out() -> Column:
+    """Whether a document's label may not be learnt from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def quality_model(spark: SparkSession, sf_dir: str):
+    """The field fitted on the labels that may be learnt from."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return line_crf.train(docs, labels, F.col("doc_id").isNotNull() & ~_held_out())
+
+
+@register
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    found = line_crf.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select("doc_id", _held_out().alias("held_out"), "score", predicted, "n_lines", "n_bad_lines")
+
+
 @register
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the benchmark windows that occur in them."""
