@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
+from clonarium.llm import chat_format, decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget_answers(counted, TOKEN_LIMIT)
 
 
+@register
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted and read back."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"),
+    )
+    events = chat_format.message_events(given.unionByName(extra))
+    return chat_format.read_back(chat_format.format_turns(events))
+
+
 def _held_out() -> Column:
     """Whether a document's label may not be learnt from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
