@@ -28,8 +28,8 @@ _SETTLED = [(0x0000, 0x052F), (0x1E00, 0x1FFE), (0x2000, 0x2064), (0x2070, 0x218
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
-CHUNK_CHARS = 1 << 22
-CACHED_PIECES = 1_000_000
+CHUNK_CHARS = 1 << 20
+CACHED_PIECES = 400_000
 
 
 @lru_cache(1)
@@ -116,7 +116,7 @@ def distinct_pieces(text: str, points: np.ndarray, starts: np.ndarray) -> Pieces
 
 
 def _room(n: int) -> int:
-    return 1 << max(n, CHUNK_CHARS).bit_length()
+    return CHUNK_CHARS if n <= CHUNK_CHARS else 1 << n.bit_length()
 
 
 def chunks(texts: Sequence[str]) -> Iterator[tuple[int, int]]:
@@ -144,8 +144,8 @@ class Pool:
     the other, and how many each has.
     """
 
-    def __init__(self, make, dtype):
-        self.make, self.dtype = make, dtype
+    def __init__(self, make, dtype, bound: int = CACHED_PIECES):
+        self.make, self.dtype, self.bound = make, dtype, bound
         self.clear()
 
     def clear(self) -> None:
@@ -155,7 +155,7 @@ class Pool:
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row numbers of the distinct ``words``."""
-        if len(self.index) + len(words) > CACHED_PIECES:
+        if len(self.index) + len(words) > self.bound:
             self.clear()
         found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)

@@ -36,7 +36,7 @@ from clonarium.llm.common import documents
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-SEGMENT_BYTES = 1 << 22
+SEGMENT_BYTES = 1 << 21
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BASE = 0x9E3779B97F4A7C15

@@ -43,7 +43,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 # Texts are read in stretches of this size, overlapping by SPAN - 1 bytes.
 _STRETCH = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
-_FLUSH_ROWS = 1 << 20
+_FLUSH_ROWS = 1 << 18
 SUFFIX_SCHEMA = "bucket int, gram long, run long, doc_id long, first long, last long, at long"
 WINDOW_SCHEMA = "doc_id long, first long, last long"
 BODY_SCHEMA = "bucket int, gram long, doc_id long, first long, body binary, known boolean"
@@ -249,7 +249,7 @@ def _compare_bytes(batches) -> Iterator[pa.RecordBatch]:
     begin = 0
     while begin < len(order):
         total = np.cumsum(sizes[begin:])
-        full = np.searchsorted(total, _FLUSH_ROWS // 4) + begin
+        full = np.searchsorted(total, _FLUSH_ROWS) + begin
         after = edges[edges > max(full, begin)]
         end = int(after[0]) if len(after) else len(order)
         rows, counts = order[begin:end], sizes[begin:end]

@@ -24,7 +24,8 @@ from clonarium.llm.bpe import Encoder, Pool, byte_strings, chunks, distinct_piec
 from clonarium.llm.common import documents
 
 COUNTS_SCHEMA = "doc_id long, n_bytes long, n_chars long, prefix_counts binary"
-_REMEMBERED_LENGTH, _REMEMBERED = 24, 1_000_000
+# Bounds of a worker's memory: the length and number of prefixes, and pieces and pairs of tokens.
+_REMEMBERED_LENGTH, _REMEMBERED, _PIECES, _PAIRS = 24, 250_000, 200_000, 400_000
 
 
 class PrefixCounter:
@@ -38,19 +39,20 @@ class PrefixCounter:
                 self.suffixes.setdefault(token[i:], -1)
             self.suffixes[token] = number
         self.letters = {n: t for t, n in self.encoder.library.get_vocab(with_added_tokens=False).items()}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.seen: dict[str, tuple[int, bytes]] = {}
-        self.pool = Pool(self._words, np.int32)
+        self.pool = Pool(self._words, np.int32, _PIECES)
 
     def _stands(self, before: int, token: int) -> bool:
         """Whether BPE leaves ``token`` as it is right after ``before`` (-1: at the start)."""
-        known = self.follows.get((before, token))
+        pair = before << 32 | token
+        known = self.follows.get(pair)
         if known is None:
-            if len(self.follows) > _REMEMBERED:
+            if len(self.follows) > _PAIRS:
                 self.follows.clear()
             wanted = [token] if before < 0 else [before, token]
             found = self.encoder.model.tokenize("".join(self.letters[t] for t in wanted))
-            known = self.follows[before, token] = [t.id for t in found] == wanted
+            known = self.follows[pair] = [t.id for t in found] == wanted
         return known
 
     def _prefixes(self, letters: str) -> bytes | list[int]:
