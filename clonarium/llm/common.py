@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clonarium.session import materialize, scratch_path
 
-__all__ = ["block_count", "documents", "materialize", "scratch_path", "ship", "sliding", "spread", "table"]
+__all__ = ["block_count", "documents", "materialize", "scratch_path", "ship", "sliding", "spread", "table", "with_positions"]
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -62,3 +62,16 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
         out, size = pick(out[:-size], out[size:]), size * 2
     rest = width - size
     return pick(out[:-rest], out[rest:]) if rest else out
+
+
+def with_positions(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``rows`` with a distinct long ``_position`` that rises with id, then text.
+
+    It is the id itself where ids are distinct and not null; otherwise the rows are sorted and
+    numbered, null ids first, and written, so that the numbers stay what they are.
+    """
+    ids = rows.select(F.col(id_col).cast("long").alias("id"))
+    if ids.groupBy("id").count().where("count > 1 or id is null").isEmpty():
+        return rows.withColumn("_position", F.col(id_col).cast("long"))
+    ordered = rows.sort(F.col(id_col).cast("long"), "text")
+    return materialize(ordered.withColumn("_position", F.monotonically_increasing_id()), "positions")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonarium.llm.common import block_count, documents, materialize
+from clonarium.llm.common import block_count, documents, materialize, with_positions
 from clonarium.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
@@ -56,7 +56,7 @@ def fingerprint(text: str, width: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc_id") -> DataFrame:
     """``doc_id`` and its fingerprint as a signed long."""
 
     def hash_texts(batches) -> Iterator[pa.RecordBatch]:
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
             found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "bits"])
 
-    return documents(docs).mapInArrow(hash_texts, "doc_id long, bits long")
+    return documents(docs, id_col=id_col).mapInArrow(hash_texts, "doc_id long, bits long")
 
 
 def segment_counts(bits: np.ndarray) -> np.ndarray:
@@ -173,9 +173,9 @@ def _cell_groups(batches) -> Iterator[tuple[int, np.ndarray]]:
         yield int(held_keys[0]), held_bits
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc_id") -> DataFrame:
     """``doc_id``, ``bits`` and ``component_id``, the least id linked directly or in steps."""
-    marked = materialize(fingerprints(docs, width), "fingerprints")
+    marked = materialize(fingerprints(docs, width, id_col), "fingerprints")
     distinct = materialize(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct")
     groups = components(fingerprint_links(distinct.select("bits")))
     joined = distinct.join(groups.withColumnRenamed("node", "bits"), "bits", "left").select(
@@ -185,3 +185,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     of_bits = joined.join(names, "root").select("bits", "component_id")
     return marked.join(of_bits, "bits").select("doc_id", "bits", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with the row of least id, then text, of each component."""
+    keyed = with_positions(docs)
+    found = near_duplicates(keyed, width, "_position")
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_position"))
+    return keyed.join(first, "_position", "left_semi").select(*docs.columns)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clonarium.llm.bpe import _powers, ragged
-from clonarium.llm.common import block_count, documents, materialize, sliding
+from clonarium.llm.common import block_count, documents, materialize, sliding, with_positions
 
 SPAN, GRAM = 100, 32
 _BASE = 0x9E3779B97F4A7C15
@@ -305,16 +305,6 @@ def _body_rows(spread_grams: frozenset, buckets: int):
     return emit
 
 
-def _positions(docs: DataFrame) -> DataFrame:
-    """(position, text, doc_id): positions rise with id, then text, and are distinct."""
-    rows = documents(docs)
-    twice = rows.groupBy("doc_id").count().where("count > 1 or doc_id is null")
-    if twice.isEmpty():
-        return rows.select(F.col("doc_id").alias("position"), "text", "doc_id")
-    ordered = rows.sort("doc_id", "text").select(F.monotonically_increasing_id().alias("position"), "text", "doc_id")
-    return materialize(ordered, "positions")
-
-
 def repeated_windows(keyed: DataFrame) -> DataFrame:
     """(position, first, last) of all windows of SPAN bytes that also start earlier."""
     spark = keyed.sparkSession
@@ -335,7 +325,7 @@ def repeated_windows(keyed: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, the removed ``spans`` in bytes, and the bytes ``kept``."""
-    keyed = _positions(docs)
+    keyed = with_positions(documents(docs)).withColumnRenamed("_position", "position")
     windows = repeated_windows(keyed)
     runs = windows.groupBy("position").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
