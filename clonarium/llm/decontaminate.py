@@ -106,6 +106,7 @@ class Segment:
         begins = np.cumsum(sizes + 1) - sizes - 1
         self.doc = np.searchsorted(begins, self.starts, "right") - 1
         self.n_words = np.bincount(self.doc, minlength=len(texts))
+        self.firsts = np.cumsum(self.n_words) - self.n_words
         codes, self.terms = pd.factorize(self.hashes)
         # Postings: positions by term, in order.
         self.positions = np.argsort(codes, kind="stable")
@@ -116,7 +117,10 @@ class Segment:
         self.lookup = pd.Index(self.terms)
 
     def matches(self, windows: Windows, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of every match, ``start`` being the place of the first word."""
+        """(window, start) of every match, ``start`` being the place of the first word.
+
+        With a slop, every term stands at most so far from its place counted from ``start``.
+        """
         known = self.lookup.get_indexer(windows.terms.ravel()).reshape(windows.terms.shape)
         padding = np.arange(known.shape[1]) >= windows.size[:, None] if known.size else known.astype(bool)
         rows = np.flatnonzero(((known >= 0) | padding).all(axis=1))
@@ -130,18 +134,22 @@ class Segment:
         sizes = self.counts[term]
         start = self.positions[ragged(self.lists[term], sizes)] - np.repeat(lead, sizes)
         at = np.repeat(np.arange(len(rows)), sizes)
+        if slop:
+            start = np.add.outer(np.arange(-slop, slop + 1), start).ravel()
+            at = np.tile(at, 2 * slop + 1)
         inside = (start >= 0) & (start + windows.size[rows][at] <= len(self.doc))
         start, at = start[inside], at[inside]
-        for depth in range(1, known.shape[1]):
+        # A shifted start may lie in another document than the posting it comes from.
+        for depth in range(0 if slop else 1, known.shape[1]):
             offset = by_rarity[at, depth]
             wanted = depth < windows.size[rows][at]
             place = np.clip(start + offset, 0, len(self.doc) - 1)
             code = known[at, offset]
             if slop:
-                key = code * np.int64(len(self.hashes) + 1)
-                low = np.searchsorted(self.keys, key + np.maximum(place - slop, 0))
-                high = np.searchsorted(self.keys, key + np.minimum(place + slop, len(self.hashes)), "right")
-                holds = low < high
+                key, doc = code * np.int64(len(self.hashes) + 1), self.doc[start]
+                low = np.searchsorted(self.keys, key + np.maximum(place - slop, self.firsts[doc]))
+                last = self.firsts[doc] + self.n_words[doc] - 1
+                holds = low < np.searchsorted(self.keys, key + np.minimum(place + slop, last), "right")
             else:
                 holds = self.hashes[place] == windows.terms[rows[at], offset]
             keep = holds | ~wanted
@@ -159,12 +167,12 @@ class Segment:
         return out
 
 
-def _find(segment: Segment, windows: Windows, n: int, slop: int) -> tuple[list, list, list]:
+def _find(segment: Segment, windows: Windows, n: int, slop: int | None) -> tuple[list, list, list]:
     """Per document: runs of hit words, the items found, the items found nearby."""
     window, start = segment.matches(windows)
     good = segment.exact(windows, window, start)
     window, start = window[good], start[good]
-    base = np.cumsum(segment.n_words) - segment.n_words
+    base = segment.firsts
     runs: list[list[dict]] = [[] for _ in range(n)]
     items: list[set[int]] = [set() for _ in range(n)]
     near: list[set[int]] = [set() for _ in range(n)]
@@ -177,9 +185,11 @@ def _find(segment: Segment, windows: Windows, n: int, slop: int) -> tuple[list,
             runs[doc][-1]["end"] = max(end, runs[doc][-1]["end"])
         else:
             runs[doc].append({"begin": begin, "end": end})
-    for w, s in zip(*map(np.ndarray.tolist, segment.matches(windows, slop)), strict=True):
-        near[int(segment.doc[s])].add(windows.items[windows.item[w]])
-    return runs, [sorted(i) for i in items], [sorted(i | j) for i, j in zip(near, items, strict=True)]
+    if slop is not None:
+        for w, s in zip(*map(np.ndarray.tolist, segment.matches(windows, slop)), strict=True):
+            near[int(segment.doc[s])].add(windows.items[windows.item[w]])
+        near = [i | j for i, j in zip(near, items, strict=True)]
+    return runs, [sorted(i) for i in items], [sorted(i) for i in near]
 
 
 _RUNS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -202,12 +212,13 @@ def find_benchmark(
     benchmark: DataFrame,
     *columns: str,
     width: int = WINDOW,
-    slop: int = 2,
+    slop: int | None = None,
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
     """Each document with its words counted, the hit ``runs``, the ``items`` whose windows occur
-    in it, and the items ``near``: those with a proximity match, exact ones included.
+    in it, and, where a ``slop`` is given, the items ``near``: those with a proximity match, exact
+    ones included.
 
     ``columns`` of ``docs`` are carried along.
     """
@@ -228,7 +239,7 @@ def find_benchmark(
     return found.select(*rows.columns, *(F.col(f"_{n}").alias(n) for n in names))
 
 
-def _scan(sent, slop: int, kept: int):
+def _scan(sent, slop: int | None, kept: int):
     def scan(batches) -> Iterator[pa.RecordBatch]:
         windows = sent.value
         for batch in batches:

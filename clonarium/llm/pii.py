@@ -88,11 +88,11 @@ def _mod97(found: Column) -> Column:
     compact = F.translate(found, " ", "")
     turned = F.concat(F.substr(compact, F.lit(5)), F.substr(compact, F.lit(1), F.lit(4)))
 
-    def add(rest: Column, c: Column) -> Column:
-        code = F.ascii(c)
+    def add(rest: Column, i: Column) -> Column:
+        code = F.ascii(F.substr(turned, i, F.lit(1)))
         return F.when(code < 65, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), add) == 1
+    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
 def _confirmed(kind: str, found: Column) -> Column:

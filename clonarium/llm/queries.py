@@ -103,7 +103,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.size("runs") > 0).alias("contaminated"),
-        F.size("near").cast("long").alias("n_near"),
     )
 
 
