@@ -101,8 +101,12 @@ def expression_table(counts: DataFrame, tpm: DataFrame, check_keys: bool = True)
     Genes and samples must agree between the two, which ``check_keys`` asserts.
     """
     if check_keys:
-        for key in ("gene_id", "sample_name_hash"):
-            require_none(key_set_difference(counts, tpm, [key]), f"counts and tpm differ in {key}")
+        def keys(df: DataFrame) -> DataFrame:
+            pair = F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).alias("value")) for k in ("gene_id", "sample_name_hash")])
+            return df.select(F.explode(pair).alias("k")).select("k.*")
+
+        # Both key columns of a side in one pass over it.
+        require_none(key_set_difference(keys(counts), keys(tpm), ["column", "value"]), "counts and tpm differ in a key")
     joined = counts.join(tpm, ["gene_id", "sample_name_hash"], "full")
     return joined.select(
         "sample_name_hash",
@@ -113,6 +117,15 @@ def expression_table(counts: DataFrame, tpm: DataFrame, check_keys: bool = True)
     ).select("sample_name_hash", "_name.*", "gene_id", "counts", "tpm")
 
 
+def unpaired_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(key, n_left, n_right) of the keys that are not exactly once on both sides, in one aggregation."""
+    sides = left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    counted = sides.groupBy(key).agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"))
+    return counted.where("n_left <> 1 or n_right <> 1")
+
+
 def expression_from_matrices(counts: DataFrame, tpm: DataFrame, gene: str = "gene_id") -> DataFrame:
     """The same table from the two wide matrices, joined before they are melted.
 
@@ -123,7 +136,7 @@ def expression_from_matrices(counts: DataFrame, tpm: DataFrame, gene: str = "gen
     differing = set(samples) ^ {c for c in tpm.columns if c != gene}
     if differing:
         raise CheckFailed(f"counts and tpm differ in samples {sorted(differing)[:5]}")
-    require_none(key_set_difference(counts, tpm, [gene]), f"counts and tpm differ in {gene}")
+    require_none(unpaired_keys(counts, tpm, gene), f"counts and tpm differ in {gene}, or repeat it")
     both = packed(counts, [gene], samples, "_counts").join(
         packed(tpm, [gene], samples, "_tpm"), [gene], "full"
     )

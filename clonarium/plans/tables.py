@@ -36,6 +36,7 @@ from clonarium.operators.joins import (
     require_one_to_one,
     with_convention,
 )
+from clonarium.operators.liftover import lift_loci, lifted_mutations
 from clonarium.operators.quality import (
     duplicate_keys,
     list_length_mismatch,
@@ -49,6 +50,7 @@ from clonarium.operators.trees import clone_tree_table
 from clonarium.plans import contracts as c
 from clonarium.session import materialize
 from clonarium.sources.bundles import bundle_rows, read_bundles, split_bundles
+from clonarium.sources.chain import read_chain
 from clonarium.sources.delimited import (
     MARKERS_NAN,
     MARKERS_PLAIN,
@@ -90,6 +92,14 @@ def mutations(spark: SparkSession, path: str, partitions: int | None = None) ->
     )
 
 
+def mutations_on_new_build(spark: SparkSession, built: DataFrame, chain: str) -> DataFrame:
+    """Canonical mutations with their id at the place the chain file moves them to.
+
+    The loci are lifted once, however many samples share them.
+    """
+    return lifted_mutations(built, lift_loci(built, materialize(read_chain(spark, chain), "chain")))
+
+
 def clone_tree(spark: SparkSession, path: str) -> DataFrame:
     """One row per tumour and clone, with row flags and the sum along its ancestors."""
     df = read_delimited(spark, path, c.CLONE_TREE_SOURCE, markers=MARKERS_NAN)

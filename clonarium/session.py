@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +50,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_JOB: ContextVar[tuple[str, ...]] = ContextVar("job", default=())
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """A scratch folder of its own for a job that leaves nothing unread; deleted at the end."""
+    token = _JOB.set((*_JOB.get(), f"job-{uuid.uuid4().hex}"))
+    try:
+        yield
+    finally:
+        clear_scratch(spark)
+        _JOB.reset(token)
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """This application's folder for intermediate tables.
+    """This application's, or the running job's, folder for intermediate tables.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so that the
     tables outlive any executor; where that is unset, as in tests, in the warehouse.
@@ -56,7 +73,7 @@ def scratch_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    return "/".join([base.rstrip("/"), spark.sparkContext.applicationId, *_JOB.get()])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -76,25 +93,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Bytes of input a shuffle partition should start from, and the most partitions.
+# Bytes of input a shuffle partition should start from.
 SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with enough partitions for the input; returns their number.
+@contextmanager
+def job_settings(spark: SparkSession, input_bytes: int = 0) -> Iterator[int]:
+    """The settings above, and shuffles sized for the input, for the length of a job.
 
     Spark merges small partitions at run time but never starts more than it is told to,
-    and the default of 200 would mean half a terabyte each for 100 TB.
+    and the default of 200 would mean half a terabyte each for 100 TB. Yields the number
+    that shuffles start with; the caller's settings are put back at the end.
     """
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, max(least, -(-input_bytes // SHUFFLE_BYTES)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    wanted = max(least, -(-input_bytes // SHUFFLE_BYTES))
+    settings = {**RUNTIME_SETTINGS, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted)}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield wanted
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; for the end of a job."""
+    """Delete the intermediate tables of this application, or of the running job."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

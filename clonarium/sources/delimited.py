@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +17,10 @@ MARKERS_NAN = ["NA", "", "nan"]
 MARKERS_SCORES = ["NA", "", "-", "nan"]
 
 
+# The parser sizes its buffer by this; wider files need it raised.
+_MAX_COLUMNS = 1_000_000
+
+
 def read_text_columns(
     spark: SparkSession,
     path: str | list[str],
@@ -29,9 +31,11 @@ def read_text_columns(
 
     Null markers other than the empty cell are left in place: Spark's ``nullValue``
     takes one marker only, and a marker has to be gone before the cast. Gzip is
-    unpacked by the file name.
+    unpacked by the file name. A line with more or fewer cells than the header fails
+    the job, which takes parsing all columns; a line of white space only counts as blank.
     """
-    reader = spark.read.option("sep", sep).option("maxColumns", 1_000_000)
+    reader = spark.read.option("sep", sep).option("maxColumns", _MAX_COLUMNS)
+    reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
     if names is None:
         return reader.option("header", True).csv(path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -41,8 +45,7 @@ def read_text_columns(
 def typed(df: DataFrame, types: dict[str, str], markers: list[str]) -> DataFrame:
     """The named columns, markers turned to null, cast to their types.
 
-    A value that does not fit its type fails the job. Columns not named are dropped,
-    so the scan does not parse them.
+    A value that does not fit its type fails the job. Columns not named are dropped.
     """
     require_columns(df, types, "source")
     return df.select(
@@ -74,7 +77,7 @@ def read_delimited(
     """A typed table from one file, or from several files with the same header.
 
     ``partitions`` is for gzip files, which Spark can only unpack in one task each: the
-    lines are spread over that many tasks first and taken apart there.
+    lines are spread over that many tasks first and taken apart there. It changes no row.
     """
     text = read_text_columns(spark, path, sep, names)
     if partitions:
@@ -85,14 +88,17 @@ def read_delimited(
 def _spread_lines(
     columns: DataFrame, path: str | list[str], sep: str, partitions: int, has_header: bool
 ) -> DataFrame:
-    """The columns of ``read_text_columns``, parsed after the lines are spread over tasks."""
-    lines = columns.sparkSession.read.text(path).where(F.trim("value") != "").repartition(partitions)
+    """The columns of ``read_text_columns``, parsed after the lines are spread over tasks.
+
+    The header is left out by its place, as the reader of one-column files without quotes
+    does it, so a line that equals the header stays.
+    """
+    reader = columns.sparkSession.read.schema("value string").option("header", has_header)
+    lines = reader.option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).csv(path)
     schema = ", ".join(f"{quoted(c)} string" for c in columns.columns)
-    parsed = lines.select(F.from_csv("value", schema, {"sep": sep, "maxColumns": "1000000"}).alias("r")).select("r.*")
-    if not has_header:
-        return parsed
-    is_header = reduce(lambda a, b: a & b, [F.col(quoted(c)).eqNullSafe(c) for c in columns.columns])
-    return parsed.where(~is_header)
+    options = {"sep": sep, "maxColumns": str(_MAX_COLUMNS), "mode": "FAILFAST"}
+    parsed = F.from_csv("value", schema, options)
+    return lines.repartition(partitions).select(parsed.alias("r")).select("r.*")
 
 
 def read_parquet_columns(spark: SparkSession, path: str, needed: Sequence[str] = ()) -> DataFrame:

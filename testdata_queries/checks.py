@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clonarium.operators import quality
-from clonarium.plans.contracts import CONTRACTS, contract_report
+from clonarium.operators.joins import unpaired_keys
+from clonarium.plans.contracts import CONTRACTS, contract_report, foreign_key_orphans
 from testdata_queries.registry import query
 
 
@@ -140,6 +141,7 @@ def key_overlap(t):
     UNION ALL SELECT 'chr format', n_rows, (SELECT count(*) FROM m WHERE pos % 5 = 0) FROM n
     UNION ALL SELECT 'am_pathogenicity bounds', n_rows, (SELECT count(*) FROM m WHERE score > 1) FROM n
     UNION ALL SELECT 'has rows', n_rows, 0 FROM n
+    UNION ALL SELECT 'column types', NULL, 0
     UNION ALL SELECT 'key unique', NULL, (SELECT count(*) FROM (
         SELECT 1 FROM m GROUP BY CASE WHEN n <> 7 THEN tumour_id END, pos, n HAVING count(*) > 1))
 """)
@@ -170,3 +172,68 @@ def contract_foreign_key(t):
     )
     report = contract_report(proportions, CONTRACTS["clone_proportions"], {"clone_tree": tree})
     return report.where("check LIKE '% in clone_tree'").select("check", "n_bad")
+
+
+@query("""
+    SELECT 'G' || (p_partkey % 700) AS gene_id, CAST(count(*) AS BIGINT) AS n_left,
+           CAST(count(CASE WHEN p_size % 2 = 0 THEN 1 END) AS BIGINT) AS n_right
+    FROM part GROUP BY 1 HAVING count(*) <> 1 OR count(CASE WHEN p_size % 2 = 0 THEN 1 END) <> 1
+""")
+def matrix_duplicate_genes(t):
+    """Genes that are not exactly once in each of two matrices."""
+    gene = "'G' || (p_partkey % 700) AS gene_id"
+    return unpaired_keys(t.part.selectExpr(gene), t.part.where("p_size % 2 = 0").selectExpr(gene), "gene_id")
+
+
+@query("SELECT 'customer' AS \"table\", 'source lacks columns [''c_missing'']' AS error, count(*) AS n_rows FROM customer")
+def required_columns(t):
+    """The error for a missing column, next to the rows of a table that has all it needs."""
+    try:
+        quality.require_columns(t.customer, ["c_custkey", "c_missing"], "source")
+        error = ""
+    except quality.CheckFailed as failed:
+        error = str(failed).split(";")[0]
+    quality.require_columns(t.customer, ["c_custkey", "c_name"])
+    return t.customer.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("customer").alias("table"), F.lit(error).alias("error"), "n_rows")
+
+
+def _tree(t):
+    return t.customer.selectExpr(
+        "if(c_custkey % 11 = 0, null, 'LTX' || (c_custkey % 9) || '-Tumour1') AS tumour_id",
+        "'clone' || c_custkey AS clone",
+        "CASE WHEN c_custkey < 9 THEN 'diploid' WHEN c_custkey % 13 = 0 THEN 'clone-1' WHEN c_custkey % 17 > 0 THEN 'clone' || (c_custkey - 9) END AS parent",
+        "int(c_custkey % 3) AS number_of_gds_at_clone",
+        "c_custkey < 9 AS is_root",
+        "if(c_custkey % 10 = 0, null, c_custkey) AS cumulative_gds_to_clone",
+        "true AS has_wgd_ancestor",
+    )
+
+
+@query("""
+    SELECT 'cumulative_gds_to_clone is null' AS "check", count(CASE WHEN c_custkey % 10 = 0 THEN 1 END) AS n_bad FROM customer
+    UNION ALL SELECT 'tumour_id is null', count(CASE WHEN c_custkey % 11 = 0 THEN 1 END) FROM customer
+""")
+def contract_null_rules(t):
+    report = contract_report(_tree(t), CONTRACTS["clone_tree"])
+    return report.where(F.col("check").endswith("is null") & (F.col("n_bad") > 0)).select("check", "n_bad")
+
+
+@query("""
+    SELECT 'column types' AS "check", CAST(7 AS BIGINT) AS n_bad FROM customer HAVING count(*) > 0
+""")
+def contract_types(t):
+    """Six columns of a tree are missing, one has another type."""
+    return contract_report(_tree(t), CONTRACTS["clone_tree"]).where("check = 'column types'").select("check", "n_bad")
+
+
+@query("""
+    WITH tree AS (SELECT CASE WHEN c_custkey % 11 > 0 THEN c_custkey % 9 END AS t, c_custkey AS n,
+                         CASE WHEN c_custkey < 9 THEN NULL WHEN c_custkey % 13 = 0 THEN -1 WHEN c_custkey % 17 > 0 THEN c_custkey - 9 END AS p
+                  FROM customer)
+    SELECT DISTINCT 'LTX' || c.t || '-Tumour1' AS tumour_id, 'clone' || c.p AS parent
+    FROM tree c WHERE c.t IS NOT NULL AND c.p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM tree o WHERE o.t = c.t AND o.n = c.p)
+""")
+def tree_parent_key(t):
+    """Parents that are no clones of their tumour; the virtual root and null are none."""
+    tree = _tree(t)
+    return foreign_key_orphans(tree, tree, CONTRACTS["clone_tree"].foreign_keys[0])

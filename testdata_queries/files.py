@@ -154,9 +154,49 @@ def manifest_counts(t):
     return store.row_counts({n: getattr(t, n) for n in _ALL_TABLES})
 
 
-@query()
+@query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", 64 AS digest_chars, true AS has_size" for n in _ALL_TABLES))
 def source_provenance(t):
-    return store.source_provenance(t.spark, f"{t.sf_dir}/*.parquet")
+    found = store.source_provenance(t.spark, f"{t.sf_dir}/*.parquet")
+    name = F.regexp_extract("path", r"/([a-z]+)\.parquet", 1).alias("table")
+    return found.select(name, F.length("digest").alias("digest_chars"), (F.col("n_bytes") > 0).alias("has_size")).distinct()
+
+
+@query("""
+    SELECT l_returnflag AS tumour_id, CASE l_returnflag WHEN 'A' THEN 'line longer than the header'
+             WHEN 'N' THEN 'line shorter than the header' ELSE '' END AS reason,
+           CASE WHEN l_returnflag = 'R' THEN count(*) ELSE 0 END AS n_values
+    FROM lineitem GROUP BY l_returnflag
+""")
+def scan_bad_lines(t):
+    """Every 100th line of two entities has a cell too many or too few; their files are rejected."""
+    root = scratch_path(t.spark, "bad-lines")
+    for entity, bad in (("A", "'1,2,3'"), ("N", "'1'"), ("R", "'1,2'")):
+        rows = t.lineitem.where(F.col("l_returnflag") == entity)
+        line = f"if(pmod(xxhash64(l_orderkey, l_linenumber), 100) = 0 OR l_linenumber = 1, {bad}, l_linenumber || ',' || l_quantity)"
+        # The header of a one-column file is its column's name.
+        rows.selectExpr(f"{line} AS `clone,{entity}`").repartition(1).write.options(header=True, sep="\t").csv(f"{root}/{entity}")
+    good, rejects = headed.read_ragged_matrices(
+        t.spark, f"{root}/*", "clone", key="tumour_id", value="proportion", markers=delimited.MARKERS_PLAIN
+    )
+    found = good.groupBy("tumour_id").agg(F.lit("").alias("reason"), F.count("proportion").alias("n_values"))
+    left_out = rejects.select(headed.key_from_directory().alias("tumour_id"), "reason").distinct()
+    return found.unionByName(left_out.withColumn("n_values", F.lit(0).cast("bigint")))
+
+
+@query("""
+    SELECT count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS sum_key,
+           count(CASE WHEN l_linenumber = 2 THEN 1 END) AS n_like_header FROM lineitem
+""")
+def scan_header_lines(t):
+    """Lines equal to the header are rows; only each file's first line is its header."""
+    key = "if(l_linenumber = 2, 'k', string(l_orderkey)) AS k"
+    path = _written(t, t.lineitem.selectExpr(key, "if(l_linenumber = 2, 'v', string(l_orderkey)) AS v"), sep="\t", header=True, compression="gzip")
+    rows = delimited.read_delimited(t.spark, path, {"k": "string", "v": "string"}, partitions=16)
+    like_header = rows.where("k = 'k' AND v = 'v'").agg(F.count(F.lit(1)).alias("n_like_header"))
+    replaced = t.lineitem.where("l_linenumber = 2").agg(F.sum("l_orderkey").alias("hidden"))
+    whole = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("k").try_cast("bigint")).alias("shown"))
+    both = whole.crossJoin(like_header).crossJoin(replaced)  # one row each
+    return both.select("n_rows", (F.col("shown") + F.col("hidden")).alias("sum_key"), "n_like_header")
 
 
 @query("""

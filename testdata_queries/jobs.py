@@ -9,6 +9,7 @@ from clonarium.operators import aggregates, trees
 from clonarium.plans import tables
 from clonarium.plans.build import Sources, build_store
 from clonarium.session import scratch_path
+from clonarium.sources.headed import key_from_directory
 from testdata_queries.registry import query
 
 
@@ -116,6 +117,11 @@ def job_mutation_timing(t):
     FROM lineitem GROUP BY 1, 2, 3, 4
 """)
 def job_variant_scores(t):
+    tumour = F.regexp_extract("path", "/tumour=([^/]+)/", 1)
+    return tables.variant_scores(t.spark, _score_files(t), tumour)
+
+
+def _score_files(t):
     root = scratch_path(t.spark, "scores")
     rows = t.lineitem.selectExpr(
         "'LTX' || (l_suppkey % 40) || '_tumour01' AS tumour",
@@ -127,8 +133,7 @@ def job_variant_scores(t):
         "element_at(array('Likely benign', 'Likely pathogenic', 'not_classified'), int(l_orderkey % 3) + 1) AS am_class",
     )
     rows.write.partitionBy("tumour").options(sep="\t", header=True).csv(root)
-    tumour = F.regexp_extract("path", "/tumour=([^/]+)/", 1)
-    return tables.variant_scores(t.spark, f"{root}/*", tumour)
+    return f"{root}/*"
 
 
 @query("""
@@ -138,6 +143,15 @@ def job_variant_scores(t):
     FROM customer, (SELECT unnest([1, 2]) AS i) WHERE i = 1 OR c_custkey % 8 = 0
 """)
 def job_clinical(t):
+    patients = tables.clinical(t.spark, _clinical_file(t))
+    tumours = tables.clinical_per_tumour(patients)
+    return tumours.select(
+        "Patient_ID", "tumour_ordinal", "tumour_id", "histology",
+        F.coalesce("size_path_mm", F.lit(-1.0)).alias("size_path_mm"),
+    )
+
+
+def _clinical_file(t):
     rows = t.customer.select(
         F.expr("'LTX' || c_custkey").alias("Patient_ID"),
         F.expr("c_custkey % 90").alias("age"),
@@ -145,12 +159,7 @@ def job_clinical(t):
         F.expr("if(c_custkey % 8 = 0, 'LUSC', 'NA')").alias("histology2_central.reviewed"),
         F.expr("if(c_custkey % 7 = 0, 'NA', string(c_acctbal))").alias("SizePath_lesion1_central.reviewed"),
     )
-    patients = tables.clinical(t.spark, _csv(t, rows, "clinical"))
-    tumours = tables.clinical_per_tumour(patients)
-    return tumours.select(
-        "Patient_ID", "tumour_ordinal", "tumour_id", "histology",
-        F.coalesce("size_path_mm", F.lit(-1.0)).alias("size_path_mm"),
-    )
+    return _csv(t, rows, "clinical")
 
 
 @query("""
@@ -160,6 +169,10 @@ def job_clinical(t):
     FROM part
 """)
 def job_drivers(t):
+    return tables.drivers(t.spark, _driver_file(t))
+
+
+def _driver_file(t):
     rows = t.part.selectExpr(
         "'G' || p_partkey AS Hugo_Symbol",
         "'chr' || (p_size % 23) AS chr_hg38",
@@ -168,7 +181,7 @@ def job_drivers(t):
         "element_at(array('TRUE', 'false', 'NA'), int(p_partkey % 3) + 1) AS mut_driver",
         "if(p_partkey % 2 = 0, 'True', 'FALSE') AS CN_driver",
     )
-    return tables.drivers(t.spark, _csv(t, rows, "drivers"))
+    return _csv(t, rows, "drivers")
 
 
 @query("""
@@ -181,6 +194,10 @@ def job_drivers(t):
     FROM cn
 """)
 def job_copy_number(t):
+    return tables.copy_number(t.spark, _copy_number_file(t)).drop("clone", "pred_CN_A", "pred_CN_B")
+
+
+def _copy_number_file(t):
     rows = t.part.selectExpr(
         "'LTX' || (p_partkey % 3) || '-Tumour1' AS tumour_id",
         "'X_' || p_partkey || '_' || (p_partkey + 99) AS segment",
@@ -188,7 +205,7 @@ def job_copy_number(t):
         "p_size % 4 AS pred_CN_A",
         "p_partkey % 3 AS pred_CN_B",
     )
-    return tables.copy_number(t.spark, _csv(t, rows, "copy-number", sep=",")).drop("clone", "pred_CN_A", "pred_CN_B")
+    return _csv(t, rows, "copy-number", sep=",")
 
 
 @query("""
@@ -199,6 +216,16 @@ def job_copy_number(t):
 """)
 def job_expression(t):
     """Sixty samples, one in ten a normal."""
+    built = tables.expression(t.spark, *_matrix_files(t))
+    return built.groupBy("patient_id", "is_normal").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("tpm").cast("bigint").alias("tpm"),
+        F.sum("counts").cast("bigint").alias("counts"),
+        F.coalesce(F.sum("region_ordinal"), F.lit(-1)).alias("regions"),
+    )
+
+
+def _matrix_files(t):
     names = [f"LTX{i % 5}_SU_N{i:02d}--0{i}" if i % 10 == 0 else f"LTX{i % 5}_SU_T1-R{i}--0{i}" for i in range(1, 61)]
 
     def matrix(factor):
@@ -207,13 +234,7 @@ def job_expression(t):
         t.part.selectExpr("'G' || p_partkey AS gene_id", *cells).write.parquet(path)
         return path
 
-    built = tables.expression(t.spark, matrix(2), matrix(1))
-    return built.groupBy("patient_id", "is_normal").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("tpm").cast("bigint").alias("tpm"),
-        F.sum("counts").cast("bigint").alias("counts"),
-        F.coalesce(F.sum("region_ordinal"), F.lit(-1)).alias("regions"),
-    )
+    return matrix(2), matrix(1)
 
 
 def _crosswalk_file(t):
@@ -269,6 +290,12 @@ def job_cohort_of_flags(t):
     FROM customer
 """)
 def job_seeding(t):
+    crosswalk = tables.id_crosswalk(t.spark, _crosswalk_file(t))
+    built = tables.seeding(t.spark, _seeding_file(t), crosswalk)
+    return built.select("tumour_id", "n_regions", "individual_seeding_clonality", "individual_seeding_phyletic")
+
+
+def _seeding_file(t):
     rows = t.customer.selectExpr(
         "'CRUK' || (c_custkey * 2 + 1) || '-Cluster1' AS tumour_id",
         "'monoclonal' AS seedingClonality",
@@ -277,9 +304,7 @@ def job_seeding(t):
         "if(c_custkey % 5 = 0, 'NA', 'a' || repeat(';b', int(c_custkey % 3))) AS individualSeedingPhyletic",
         "c_custkey % 3 + 1 AS nRegions",
     )
-    crosswalk = tables.id_crosswalk(t.spark, _crosswalk_file(t))
-    built = tables.seeding(t.spark, _csv(t, rows, "seeding", sep=" "), crosswalk)
-    return built.select("tumour_id", "n_regions", "individual_seeding_clonality", "individual_seeding_phyletic")
+    return _csv(t, rows, "seeding", sep=" ")
 
 
 @query("""
@@ -292,6 +317,10 @@ def job_seeding(t):
     FROM genes g LEFT JOIN bands ON g.c = bands.c AND s < "end" AND e > start GROUP BY 1, 2, 3, 4
 """)
 def job_gene_reference(t):
+    return tables.gene_reference(t.spark, *_gene_files(t), partitions=16)
+
+
+def _gene_files(t):
     transcripts = t.lineitem.selectExpr(
         "0 AS bin", "'NM' AS name", "'chr' || ((l_partkey div 500) % 26 + 1) AS chrom", "'+' AS strand",
         "l_partkey * 100 + l_linenumber AS s", "l_partkey * 100 + l_linenumber + 20 AS e", "0 AS cs", "0 AS ce", "1 AS n",
@@ -301,11 +330,9 @@ def job_gene_reference(t):
         "'chr' || ((s_suppkey div 25) % 26 + 1) AS chrom", "s_suppkey * 2000 AS s", "s_suppkey * 2000 + 1950 AS e",
         "'q' || s_suppkey AS b", "'gneg' AS g",
     )
-    return tables.gene_reference(
-        t.spark,
+    return (
         _csv(t, transcripts, "transcripts", header=False, compression="gzip"),
         _csv(t, bands, "bands", header=False, compression="gzip"),
-        partitions=16,
     )
 
 
@@ -315,6 +342,11 @@ def job_gene_reference(t):
     FROM orders, (SELECT unnest([1, 2]) AS c), (SELECT unnest([1, 2]) AS r) WHERE o_orderkey % 11 > 0
 """)
 def job_region_clonality(t):
+    crosswalk = tables.id_crosswalk(t.spark, _crosswalk_file(t))
+    return tables.region_tables(t.spark, _bundle_file(t), crosswalk)[1]
+
+
+def _bundle_file(t):
     records = t.orders.selectExpr(
         "if(o_orderkey % 11 = 0, '', 'LTX' || o_custkey || '_' || o_orderkey) AS sample_id",
         "array('R1', 'R2') AS regions",
@@ -324,23 +356,121 @@ def job_region_clonality(t):
     )
     path = scratch_path(t.spark, "bundles")
     records.write.json(path)
+    return path
+
+
+@query("""
+    SELECT 'LTX' || o_custkey || '-Tumour' || o_orderkey AS tumour_id, 'clone' || c AS clone, 'R' || r AS region,
+           CAST(CASE WHEN c = 1 AND r = 1 THEN 100 WHEN c = 1 THEN 40 WHEN r = 1 THEN 30 ELSE 0 END AS INTEGER) AS ccf
+    FROM orders, (SELECT unnest([1, 2]) AS c), (SELECT unnest([1, 2]) AS r) WHERE o_orderkey % 11 > 0
+""")
+def job_region_ccf(t):
     crosswalk = tables.id_crosswalk(t.spark, _crosswalk_file(t))
-    return tables.region_tables(t.spark, path, crosswalk)[1]
+    return tables.region_tables(t.spark, _bundle_file(t), crosswalk)[0]
+
+
+def _proportion_files(t):
+    """A directory per region; the last one lacks the column that names the rows."""
+    root = scratch_path(t.spark, "proportions")
+    for region in range(4):
+        rows = t.customer.where(f"c_nationkey % 5 = {region}").selectExpr(
+            f"'clone' || c_custkey AS {'clone' if region < 3 else 'other'}",
+            f"if(c_custkey % 6 = 0, 'NA', string(c_custkey % 10 / 10)) AS s{region}",
+            f"c_custkey % 2 AS shared{region}",
+        )
+        rows.write.options(header=True).csv(f"{root}/LTX{region}-Tumour1")
+    return f"{root}/*"
+
+
+@query("""
+    WITH parts AS (SELECT c_nationkey % 5 AS r, c_custkey AS c FROM customer WHERE c_nationkey % 5 < 3)
+    SELECT 'LTX' || r || '-Tumour1' AS tumour_id, 'clone' || c AS clone, 's' || r AS sample_id,
+           CASE WHEN c % 6 > 0 THEN c % 10 / 10.0 END AS proportion, '' AS reason FROM parts
+    UNION ALL SELECT 'LTX' || r || '-Tumour1', 'clone' || c, 'shared' || r, c % 2, '' FROM parts
+    UNION ALL SELECT DISTINCT 'LTX3-Tumour1', '', '', -1, 'no column clone' FROM customer WHERE c_nationkey % 5 = 3
+""")
+def job_clone_proportions(t):
+    rows, rejects = tables.clone_proportions(t.spark, _proportion_files(t))
+    left_out = rejects.select(key_from_directory().alias("tumour_id"), "reason").distinct()
+    empty = F.lit("")
+    return rows.withColumn("reason", empty).unionByName(
+        left_out.select("tumour_id", empty.alias("clone"), empty.alias("sample_id"), F.lit(-1.0).alias("proportion"), "reason")
+    )
+
+
+def _chain_file(t):
+    """A chain of two blocks per part: 80 bases at ``p_partkey * 100``, a gap of 5, 10 more."""
+    chains = t.part.selectExpr(
+        "concat_ws('\n', concat_ws(' ', 'chain', p_partkey, 'chr7', 1000000000, '+', p_partkey * 100, p_partkey * 100 + 95, "
+        "'chr8', 1000000000, if(p_partkey % 2 = 0, '+', '-'), p_partkey * 200, p_partkey * 200 + 97, p_partkey), "
+        "'80 5 7', '10', '') AS value"
+    )
+    path = scratch_path(t.spark, "chain")
+    chains.repartition(1).write.options(lineSep="\n").text(path)
+    return path
+
+
+@query("""
+    WITH m AS (SELECT l_orderkey, l_linenumber, l_partkey AS p, CAST(l_suppkey % 100 AS BIGINT) AS o FROM lineitem),
+    lifted AS (SELECT *, CASE WHEN o < 80 THEN p * 200 + o WHEN o >= 85 AND o < 95 THEN p * 200 + o + 2 END AS q FROM m)
+    SELECT CASE WHEN q IS NULL THEN 'lost' WHEN p % 2 = 0 THEN 'forward' ELSE 'reverse' END AS way, count(*) AS n_rows,
+           CAST(sum(CASE WHEN p % 2 = 0 THEN q + 1 ELSE 1000000000 - q END) AS BIGINT) AS sum_pos
+    FROM lifted GROUP BY 1
+""")
+def job_lifted_mutations(t):
+    """All lineitem rows as mutations, moved through a chain file written from part."""
+    mutations = t.lineitem.selectExpr(
+        "'LTX' || l_orderkey || '_1:7:' || l_linenumber AS mutation_id", "'S1' AS sample_name_hash",
+        "'LTX1-Tumour1' AS tumour_id", "'7' AS chr", "l_partkey * 100 + l_suppkey % 100 + 1 AS pos", "'A' AS ref", "'T' AS alt",
+        "l_partkey",
+    )
+    lifted = tables.mutations_on_new_build(t.spark, mutations, _chain_file(t))
+    new = F.split("mutation_id_hg38", ":")
+    way = F.when(F.col("mutation_id_hg38").isNull(), "lost").when(F.col("l_partkey") % 2 == 0, "forward").otherwise("reverse")
+    return lifted.groupBy(way.alias("way")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.get(new, F.lit(2)).cast("bigint")).alias("sum_pos")
+    )
 
 
 @query("""
+    WITH o AS (SELECT count(*) AS n FROM orders WHERE o_orderkey % 11 > 0)
     SELECT 'id_crosswalk' AS "table", count(*) AS n_rows FROM customer
     UNION ALL SELECT 'mutations', count(*) FROM lineitem
+    UNION ALL SELECT 'mutations_hg38', count(*) FROM lineitem
     UNION ALL SELECT 'clone_tree', count(*) FROM customer
+    UNION ALL SELECT 'clinical', count(*) FROM customer
+    UNION ALL SELECT 'clinical_per_tumour', count(*) + count(CASE WHEN c_custkey % 8 = 0 THEN 1 END) FROM customer
+    UNION ALL SELECT 'drivers', count(*) FROM part
+    UNION ALL SELECT 'copy_number', count(*) FROM part
+    UNION ALL SELECT 'expression', 60 * count(*) FROM part
+    UNION ALL SELECT 'paired_normals', count(*) FROM part
+    UNION ALL SELECT 'clone_proportions', 2 * count(*) FROM customer WHERE c_nationkey % 5 < 3
     UNION ALL SELECT 'clone_flags', count(*) FROM orders
+    UNION ALL SELECT 'seeding', count(*) FROM customer
+    UNION ALL SELECT 'gene_reference', count(DISTINCT l_partkey) FROM lineitem WHERE (l_partkey // 500) % 26 + 1 <= 22
+    UNION ALL SELECT 'region_ccf', 4 * n FROM o
+    UNION ALL SELECT 'region_clonality', 4 * n FROM o
 """)
 def job_store_build(t):
-    """Several tables in dependency order into one store, with its manifest."""
+    """All tables but the one keyed by file names into one store, with its manifest."""
+    genes, bands = _gene_files(t)
+    counts, tpm = _matrix_files(t)
     sources = Sources(
-        crosswalk=f"{_crosswalk_file(t)}/*.csv",
+        crosswalk=_crosswalk_file(t),
         mutations=f"{_mutation_file(t)}/*.csv.gz",
-        clone_tree=f"{_tree_file(t)}/*.csv",
-        clone_flags=f"{_flag_file(t)}/*.csv",
+        clone_tree=_tree_file(t),
+        clinical=_clinical_file(t),
+        drivers=_driver_file(t),
+        copy_number=_copy_number_file(t),
+        expression_counts=counts,
+        expression_tpm=tpm,
+        clone_proportions=_proportion_files(t),
+        clone_flags=_flag_file(t),
+        seeding=_seeding_file(t),
+        genes=genes,
+        bands=bands,
+        bundles=_bundle_file(t),
+        chain=_chain_file(t),
     )
     manifest = build_store(t.spark, sources, scratch_path(t.spark, "store"))
     return manifest.select("table", "n_rows")

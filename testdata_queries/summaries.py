@@ -49,12 +49,12 @@ def _expression(t):
 
 
 @query("""
-    SELECT 'T' || l_suppkey AS tumour_id, 'clone' || l_linenumber AS clone, max(l_tax) AS max_proportion
-    FROM lineitem WHERE l_partkey % 50 = l_suppkey % 50 GROUP BY 1, 2 HAVING max(l_tax) >= 0.05
+    SELECT 'T' || l_orderkey AS tumour_id, 'clone' || (l_linenumber % 3) AS clone, max(l_tax) AS max_proportion
+    FROM lineitem GROUP BY 1, 2 HAVING max(l_tax) >= 0.05
 """)
 def clone_presence(t):
-    proportions = t.lineitem.where("l_partkey % 50 = l_suppkey % 50").selectExpr(
-        "'T' || l_suppkey AS tumour_id", "'clone' || l_linenumber AS clone", "l_tax AS proportion"
+    proportions = t.lineitem.selectExpr(
+        "'T' || l_orderkey AS tumour_id", "'clone' || (l_linenumber % 3) AS clone", "l_tax AS proportion"
     )
     return aggregates.present_clones(proportions, 0.05)
 

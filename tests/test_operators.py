@@ -206,7 +206,7 @@ def test_contract_report(spark):
     report = {r.check: r.n_bad for r in contract_report(cp, contract, {"clone_tree": tree}).collect()}
     assert report == {
         "tumour_id is null": 0, "clone is null": 0, "sample_id is null": 1, "tumour_id format": 1,
-        "proportion bounds": 1, "has rows": 0, "key unique": 1, "tumour_id,clone in clone_tree": 1,
+        "proportion bounds": 1, "has rows": 0, "column types": 0, "key unique": 1, "tumour_id,clone in clone_tree": 1,
     }
     assert type_mismatches(cp, contract) == []
     assert type_mismatches(cp.drop("clone").withColumn("proportion", F.lit("x")), contract) == [

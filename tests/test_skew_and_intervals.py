@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
 from clonarium.operators.skew import fits_broadcast, heavy_hashes, lookup_join
-from clonarium.session import broadcast_limit, estimated_bytes, size_shuffles
+from clonarium.session import broadcast_limit, estimated_bytes, job_settings
 from clonarium.sources.chain import read_chain
 
 
@@ -103,12 +103,10 @@ def test_broadcast_limit_reads_units(spark, lookup):
 
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        assert size_shuffles(spark, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 10 << 30) == 80 == int(spark.conf.get(key))
-        assert size_shuffles(spark, 100 << 40) == 100_000
-    finally:
-        spark.conf.unset(key)
+    for size, n in ((1, int(spark.conf.get("spark.sql.shuffle.partitions"))), (10 << 30, 80), (100 << 40, 819_200)):
+        with job_settings(spark, size) as wanted:
+            assert wanted == n == int(spark.conf.get(key))
+        assert spark.conf.get(key, None) is None
 
 
 def _random_intervals(spark, rng, n, prefix, widest):

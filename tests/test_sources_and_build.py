@@ -258,13 +258,15 @@ def test_store_check(spark, store):
 
 def test_provenance(spark, store, sources):
     saved = spark.read.parquet(f"{store[0]}/_provenance.parquet")
-    assert saved.where("length(sha256) = 64").count() == saved.count() > 15
+    assert saved.where("length(digest) = 64").count() == saved.count() > 15
+    assert saved.where("n_columns = 16 and path like '%mutations.tsv.gz'").count() == 1
     one = source_provenance(spark, sources.drivers).first()
-    assert one.n_bytes == len(DRIVERS) and one.line_digest is None
-    assert one.sha256 == hashlib.sha256(DRIVERS.encode()).hexdigest()
-    large = source_provenance(spark, sources.drivers, max_bytes=10).collect()
-    assert [(r.path, r.n_bytes, r.sha256) for r in large] == [(one.path, one.n_bytes, None)]
-    assert large[0].line_digest.startswith("3:")
+    assert (one.n_bytes, one.digest) == (len(DRIVERS), hashlib.sha256(DRIVERS.encode()).hexdigest())
+    lines = source_provenance(spark, sources.drivers, "lines")
+    assert lines.columns == ["path", "n_bytes", "modified", "digest"]
+    assert lines.first().digest.startswith("3:")
+    with pytest.raises(ValueError):
+        source_provenance(spark, sources.drivers, "md5")
 
 
 def test_write_table_sorts_by_key(spark, tmp_path):
@@ -316,3 +318,49 @@ def test_bad_cast_fails(spark, tmp_path):
         delimited.read_delimited(spark, str(tmp_path / "a.tsv"), {"x": "int"}).collect()
     with pytest.raises(CheckFailed, match="lacks columns"):
         delimited.read_delimited(spark, str(tmp_path / "a.tsv"), {"z": "int"})
+
+
+def test_lines_of_another_size_fail(spark, tmp_path):
+    for name, text in (("long", "x\ty\n1\t2\n3\t4\t99\n"), ("short", "x\ty\n1\t2\n3\n")):
+        (tmp_path / f"{name}.tsv").write_text(text)
+        for partitions in (None, 2):
+            with pytest.raises(Exception, match="(?i)malformed"):
+                delimited.read_delimited(spark, str(tmp_path / f"{name}.tsv"), {"x": "int"}, partitions=partitions).collect()
+
+
+def test_spreading_lines_changes_no_row(spark, tmp_path, rows):
+    text = 'x\ty\n\n1\t"a\tb"\nx\ty\n  \n2\tNA\n x\t y\n'
+    (tmp_path / "a.tsv.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "b.tsv.gz").write_bytes(gzip.compress(b"x\ty\n9\tz\n"))
+    got = [
+        rows(delimited.read_delimited(spark, str(tmp_path / "*.gz"), {"x": "string", "y": "string"}, partitions=n))
+        for n in (None, 1, 3)
+    ]
+    assert got[0] == got[1] == got[2]
+    assert len(got[0]) == 5 and ("x", "y") in got[0] and ("1", "a\tb") in got[0]
+
+
+def test_headed_files_keep_lines_like_their_header(spark, tmp_path, rows):
+    (tmp_path / "A+1").mkdir()
+    (tmp_path / "A+1" / "x.csv").write_text('a,b\n1,"2, ""3"""\na,b\n')
+    got = headed.read_entity_columns(
+        spark, str(tmp_path / "*/x.csv"), headed.key_from_directory(), {"b": "string"}, sep=",", markers=[]
+    )
+    assert rows(got) == [("A+1", '2, "3"'), ("A+1", "b")]
+    (tmp_path / "A+1" / "x.csv").write_text("a,b\n1\n")
+    with pytest.raises(Exception, match="line shorter than the header"):
+        headed.read_entity_columns(spark, str(tmp_path / "*/x.csv"), headed.key_from_directory(), {"b": "int"}, sep=",", markers=[]).collect()
+
+
+def test_session_settings_and_scratch_are_put_back(spark, sources, tmp_path):
+    from clonarium.session import RUNTIME_SETTINGS, scratch_folder
+
+    before = {k: spark.conf.get(k, None) for k in RUNTIME_SETTINGS}
+    folder = scratch_folder(spark)
+    manifest = build_store(spark, Sources(drivers=sources.drivers, crosswalk=sources.crosswalk), str(tmp_path / "s"))
+    assert manifest.count() == 2
+    assert {k: spark.conf.get(k, None) for k in RUNTIME_SETTINGS} == before
+    assert scratch_folder(spark) == folder
+    import pathlib
+
+    assert not list(pathlib.Path(folder.removeprefix("file:")).glob("job-*"))
