@@ -142,8 +142,8 @@ def _spans(kind: Kind, rank: int) -> Column:
 
 def find_pii(docs: DataFrame, text_col: str = "text", into: str = "pii") -> DataFrame:
     """``docs`` with the spans in ``into``: start, end, kind and score, by start then kind."""
-    columns = docs.columns
-    rows = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    # The row goes along as one column, so that no name of its can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     rows = rows.withColumns({f"_{k.name}": _matches(k) for k in KINDS})
     some = {k.name: F.size(f"_{k.name}") > 0 for k in KINDS}
     rows = rows.withColumns({f"_{k.name}_pieces": F.when(some[k.name], F.split("_text", k.pattern, -1)) for k in KINDS})
@@ -155,7 +155,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", into: str = "pii") -> Data
 
     rows = rows.withColumns({f"_{k.name}_ends": ends(k) for k in KINDS})
     spans = F.array_sort(F.concat(*(_spans(k, rank) for rank, k in enumerate(KINDS))))
-    return rows.select(*columns, spans.alias(into))
+    return rows.select("_row.*", spans.alias(into))
 
 
 def redact(found: DataFrame, text_col: str = "text", spans_col: str = "pii") -> DataFrame:

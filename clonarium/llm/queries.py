@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from clonarium.llm import chat_format, decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
 from clonarium.llm.common import scratch_path, table
+from clonarium.llm.oracles import ORACLES  # noqa: F401  (read with QUERIES)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT, SEQUENCE_TOKENS, END_OF_DOCUMENT, END_OF_TEXT = 512, 1024, 2, 0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -189,7 +189,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with the row of least id, then text, of each component."""
-    keyed = with_positions(docs)
+    # The row goes along as one column, so that no name of its can clash.
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = with_positions(whole)
     found = near_duplicates(keyed, width, "_position")
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_position"))
-    return keyed.join(first, "_position", "left_semi").select(*docs.columns)
+    return keyed.select("_position", "_row").join(first, "_position", "left_semi").select("_row.*")

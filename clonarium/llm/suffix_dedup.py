@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from clonarium.llm.bpe import _powers, ragged
 from clonarium.llm.common import block_count, documents, materialize, sliding, with_positions
+from clonarium.session import estimated_bytes
 
 SPAN, GRAM = 100, 32
 _BASE = 0x9E3779B97F4A7C15
@@ -44,6 +45,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STRETCH = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 _FLUSH_ROWS = 1 << 18
+BUCKET_BYTES = 64 << 20  # of input, by Catalyst's estimate
 SUFFIX_SCHEMA = "bucket int, gram long, run long, doc_id long, first long, last long, at long"
 WINDOW_SCHEMA = "doc_id long, first long, last long"
 BODY_SCHEMA = "bucket int, gram long, doc_id long, first long, body binary, known boolean"
@@ -129,10 +131,14 @@ def _firsts(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def bucket_count(keyed: DataFrame) -> int:
+    """Enough buckets that each, a bucket being sorted in memory, stays small."""
+    return block_count(keyed.sparkSession, -(-estimated_bytes(keyed) // BUCKET_BYTES))
+
+
 def repeated_suffixes(keyed: DataFrame) -> tuple[DataFrame, Splitters]:
     """Steps 1 and 2 over (position, text): settled repeats and candidates, and the splitters."""
-    spark = keyed.sparkSession
-    buckets = block_count(spark)
+    buckets = bucket_count(keyed)
 
     def sample(batches):
         for columns in _gather(batches):
@@ -157,7 +163,8 @@ def repeated_suffixes(keyed: DataFrame) -> tuple[DataFrame, Splitters]:
 
     suffixes = keyed.mapInArrow(emit, SUFFIX_SCHEMA)
     # Rows known to be repeats need no company; they stay out of the buckets.
-    home = F.when(F.col("bucket") < 0, F.pmod(F.col("run"), F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
+    dealt = F.pmod(F.xxhash64("doc_id", "first"), F.lit(buckets)).cast("int")
+    home = F.when(F.col("bucket") < 0, dealt).otherwise(F.col("bucket"))
     return suffixes.repartitionById(buckets, home).mapInArrow(_compare, REPEAT_SCHEMA), splitters
 
 
@@ -307,7 +314,6 @@ def _body_rows(spread_grams: frozenset, buckets: int):
 
 def repeated_windows(keyed: DataFrame) -> DataFrame:
     """(position, first, last) of all windows of SPAN bytes that also start earlier."""
-    spark = keyed.sparkSession
     suffixes, splitters = repeated_suffixes(keyed.select("position", "text"))
     found = materialize(suffixes, "suffixes")
     candidates = (
@@ -315,7 +321,7 @@ def repeated_windows(keyed: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("position"))
         .agg(F.collect_list(F.struct("bucket", "gram", "first", "last")).alias("runs"))
     )
-    buckets = block_count(spark)
+    buckets = bucket_count(keyed)
     rows = keyed.select("position", "text").join(candidates, "position")
     bodies = rows.mapInArrow(_body_rows(frozenset(splitters.grams.tolist()), buckets), BODY_SCHEMA)
     compared = bodies.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare_bytes, WINDOW_SCHEMA)
