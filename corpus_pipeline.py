@@ -50,10 +50,13 @@ def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
-    found = pii.redact(pii.find_pii(docs, into="_pii"), spans_col="_pii")
+    spans = "_pii"
+    while spans in docs.columns:
+        spans += "_"
+    found = pii.redact(pii.find_pii(docs, into=spans), spans_col=spans)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("n_chars", F.when(F.size("_pii") > 0, length).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 
 
