@@ -113,7 +113,7 @@ def parse_sample_name(col: Column) -> Column:
     halves = F.split(region_code, "-", 2)
 
     def number(index: int) -> Column:
-        return F.substring(F.get(halves, F.lit(index)), 2, 1 << 20).try_cast("int")
+        return F.substr(F.get(halves, F.lit(index)), F.lit(2)).try_cast("int")
 
     paired = matched & ~is_normal & region_code.contains("-")
     tumour = F.when(paired, number(0))

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from clonarium.functions.ids import build_tumour_id
 
-# Up to this many value columns ``unpivot`` is used; it plans one projection per
-# column, so wider matrices go through one array of columns instead.
-MAX_UNPIVOT_COLUMNS = 32
-
 # Source column per lesion ({n} is the lesion number), tidy name.
 LESION_COLUMNS = {
     "Lesion{n}_site_central.reviewed": "lesion_site",
@@ -45,11 +41,6 @@ def melt(
     if value_columns is None:
         value_columns = [c for c in df.columns if c not in set(id_columns)]
     ids = [quoted(c) for c in id_columns]
-    if len(value_columns) <= MAX_UNPIVOT_COLUMNS:
-        cells = [f"{_as_type(df, c, value_type)} AS {quoted(c)}" for c in value_columns]
-        return df.selectExpr(*ids, *cells).unpivot(
-            ids, [quoted(c) for c in value_columns], variable, value
-        )
     names = text_array(value_columns)
     return (
         packed(df, id_columns, value_columns, "_cells", value_type)

@@ -14,9 +14,10 @@ from clonarium.session import broadcast_limit, estimated_bytes
 # however large the table is: that bounds everything collected or broadcast here.
 HEAVY_SHARE = 1 / 512
 
-# The rows of the other side that belong to heavy keys are broadcast up to this
-# number; beyond it the shuffle join with its runtime skew split takes over.
+# The rows of the other side that belong to heavy keys are broadcast up to this number and
+# this many bytes; beyond it the shuffle join with its runtime skew split takes over.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -70,21 +71,21 @@ def lookup_join(
     how: str = "left",
     *,
     limit: int | None = None,
-    share: float = HEAVY_SHARE,
+    share: float | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join facts, whose keys may be skewed, to a lookup (``inner`` or ``left``).
 
     * A lookup below the broadcast threshold, or facts below it in an inner join, are
       left to Catalyst, which broadcasts them.
-    * Otherwise the heavy keys are found by a sketch. Facts of a heavy key meet only that key's
-      lookup rows, which are counted and broadcast, so these facts are not shuffled;
-      all other keys take the shuffle join. Should the heavy keys own too many lookup
-      rows, they take the shuffle join as well, whose oversized partitions Spark
-      splits at run time.
-    * If many facts lack a key, they skip the left join, as they can match nothing.
-
-    The facts are read once per branch, so an expensive input should be a written
+    * Otherwise it is a shuffle join, whose oversized partitions Spark splits at run time.
+    * With ``share``, such as ``HEAVY_SHARE``, the keys above that share of the facts are found
+      by a sketch first, one more pass over the facts. Facts of a heavy key meet only that
+      key's lookup rows, which are counted, measured and broadcast, so these facts are not
+      shuffled; should the heavy keys own too many lookup rows, they stay with the others.
+      Facts without a key, if many, skip a left join, as they can match nothing.
+
+    With ``share`` the facts are read once per branch, so an expensive input should be a written
     table. ``on`` columns come first in the result, as with ``DataFrame.join(on=...)``.
     """
     if how not in ("inner", "left"):
@@ -93,7 +94,7 @@ def lookup_join(
     if fits_broadcast(lookup, limit) or how == "inner" and fits_broadcast(facts, limit):
         return facts.join(lookup, on, how)
 
-    if not _splittable(facts, on):
+    if share is None or not _splittable(facts, on):
         return facts.join(lookup, on, how)
     heavy, many_without_key = heavy_hashes(facts, on, share)
     complete = _all_present(on)
@@ -102,7 +103,9 @@ def lookup_join(
         kinds = {k: facts.schema[k].dataType for k in on}
         same_kind = [F.col(k) if lookup.schema[k].dataType == kinds[k] else F.col(k).try_cast(kinds[k]) for k in on]
         heavy_lookup = lookup.where(F.xxhash64(*same_kind).isin(heavy))
-        if heavy_lookup.limit(max_rows + 1).count() <= max_rows:
+        row_bytes = F.octet_length(F.to_json(F.struct("*")))
+        n, size = heavy_lookup.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
+        if n <= max_rows and (size or 0) <= MAX_BROADCAST_BYTES:
             is_heavy = complete & F.xxhash64(*on).isin(heavy)
             parts.append(facts.where(is_heavy).join(F.broadcast(heavy_lookup), on, how))
             rest = facts.where(~is_heavy)

@@ -11,12 +11,6 @@ def test_melt_keeps_empty_cells_and_dotted_names(spark, rows):
     expected = [("g1", "a.1", 1.0), ("g1", "b c", None), ("g2", "a.1", 3.0), ("g2", "b c", 4.0)]
     narrow = reshape.melt(wide, ["gene"], variable="s", value="v")
     assert rows(narrow) == sorted(expected, key=str)
-    before = reshape.MAX_UNPIVOT_COLUMNS
-    try:
-        reshape.MAX_UNPIVOT_COLUMNS = 1
-        assert rows(reshape.melt(wide, ["gene"], variable="s", value="v")) == sorted(expected, key=str)
-    finally:
-        reshape.MAX_UNPIVOT_COLUMNS = before
 
 
 def test_lesions(spark, rows):
