@@ -197,6 +197,20 @@ def required_columns(t):
     return t.customer.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("customer").alias("table"), F.lit(error).alias("error"), "n_rows")
 
 
+@query("""
+    SELECT least(5, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1))) AS n_listed, count(*) AS n_rows
+    FROM lineitem
+""")
+def first_offenders(t):
+    """A failing check lists five offenders at most."""
+    try:
+        quality.require_none(quality.duplicate_keys(t.lineitem, ["l_orderkey"]), "duplicate")
+        listed = 0
+    except quality.CheckFailed as failed:
+        listed = str(failed).count("'l_orderkey'")
+    return t.lineitem.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(listed).cast("bigint").alias("n_listed"), "n_rows")
+
+
 def _tree(t):
     return t.customer.selectExpr(
         "if(c_custkey % 11 = 0, null, 'LTX' || (c_custkey % 9) || '-Tumour1') AS tumour_id",

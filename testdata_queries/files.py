@@ -68,6 +68,20 @@ def scan_parquet(t):
     return df.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("""
+    SELECT 'customer' AS "table", count(*) AS n_rows, true AS is_recent, 'sandbox' AS mode FROM customer
+    UNION ALL SELECT 'orders', count(*), true, 'sandbox' FROM orders
+""")
+def manifest_json(t):
+    """The manifest as it is read back from JSON, its time included."""
+    root = scratch_path(t.spark, "store")
+    for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey")):
+        store.write_table(getattr(t, name).select(key), root, name, [key])
+    manifest = store.write_manifest(t.spark, root, ["customer", "orders"], t.sf_dir, "sandbox")
+    recent = F.col("built_at_utc").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    return manifest.select("table", "n_rows", recent.alias("is_recent"), "mode")
+
+
 # The entities of the per-entity files are the three values of l_returnflag.
 _ENTITIES = ("A", "N", "R")
 
