@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clonarium.session import job_scratch
 from clonarium.sources.headed import read_entity_columns
 from clonarium.sources.store import table_path
 
@@ -45,10 +46,11 @@ def append_new_files(
         found = [r.path for r in batch.toLocalIterator()]
         if not found:
             return
-        rows = read_entity_columns(
-            batch.sparkSession, found, key_column, columns, key=key, sep=sep, markers=markers
-        )
-        prepare(rows).write.mode("overwrite").parquet(f"{table_path(store, table)}/batch={batch_id}")
+        with job_scratch(batch.sparkSession):
+            rows = read_entity_columns(
+                batch.sparkSession, found, key_column, columns, key=key, sep=sep, markers=markers
+            )
+            prepare(rows).write.mode("overwrite").parquet(f"{table_path(store, table)}/batch={batch_id}")
 
     query = (
         paths.writeStream.trigger(availableNow=True)
