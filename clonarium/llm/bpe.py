@@ -152,11 +152,25 @@ class Pool:
         self.index: dict[str, int] = {}
         self.values = np.empty(1 << 16, self.dtype)
         self.offsets = np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int32)
+
+    def _keep_used(self) -> None:
+        """Make room: only strings met in several batches stay, at most half the bound."""
+        least = 2
+        while np.count_nonzero(self.uses >= least) > self.bound // 2:
+            least *= 2
+        kept = np.flatnonzero(self.uses >= least)
+        words = list(self.index)  # in order of their rows
+        sizes = np.diff(self.offsets)[kept]
+        self.values = self.values[ragged(self.offsets[kept], sizes)]
+        self.offsets = np.concatenate([[0], np.cumsum(sizes)])
+        self.uses = np.ones(len(kept), np.int32)
+        self.index = dict(zip([words[i] for i in kept.tolist()], range(len(kept)), strict=True))
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row numbers of the distinct ``words``."""
         if len(self.index) + len(words) > self.bound:
-            self.clear()
+            self._keep_used()
         found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
@@ -164,11 +178,13 @@ class Pool:
             values, sizes = self.make(new)
             old, first = len(self.offsets) - 1, int(self.offsets[-1])
             if first + len(values) > len(self.values):
-                self.values = np.concatenate([self.values[:first], np.empty(first + 2 * len(values), self.dtype)])
+                self.values = np.concatenate([self.values[:first], np.empty(first // 2 + 2 * len(values), self.dtype)])
             self.values[first : first + len(values)] = values
             self.offsets = np.concatenate([self.offsets, first + np.cumsum(sizes)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
             self.index.update(zip(new, range(old, old + len(new)), strict=True))
             found[missing] = np.arange(old, old + len(new))
+        self.uses[found] += 1
         return found
 
 

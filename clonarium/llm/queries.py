@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clonarium.llm import chat_format, decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
-from clonarium.llm.common import scratch_path, table
+from clonarium.llm.common import materialize, scratch_path, table
 from clonarium.llm.oracles import ORACLES  # noqa: F401  (read with QUERIES)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,7 +53,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, whether over the limit, and the characters that fit it."""
     counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), VOCABULARY)
-    return token_counts.budget_answers(counted, TOKEN_LIMIT)
+    return token_counts.budget_answers(materialize(counted, "prefix-counts"), TOKEN_LIMIT)
 
 
 @register

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,11 @@ from clonarium.llm.common import documents
 
 COUNTS_SCHEMA = "doc_id long, n_bytes long, n_chars long, prefix_counts binary"
 # Bounds of a worker's memory: the length and number of prefixes, and pieces and pairs of tokens.
-_REMEMBERED_LENGTH, _REMEMBERED, _PIECES, _PAIRS = 24, 250_000, 200_000, 400_000
+_REMEMBERED_LENGTH, _SHORT, _REMEMBERED, _PIECES, _PAIRS = 24, 5, 400_000, 300_000, 400_000
+
+
+_BYTES = [bytes((i,)) for i in range(256)]
+_IS_FIRST_BYTE = bytes(not 0x80 <= b < 0xC0 for b in range(256))
 
 
 class PrefixCounter:
@@ -33,12 +38,15 @@ class PrefixCounter:
 
     def __init__(self, path: str):
         self.encoder = Encoder(path)
-        self.suffixes: dict[str, int] = {}
-        for token, number in self.encoder.library.get_vocab(with_added_tokens=False).items():
-            for i in range(1, len(token)):
-                self.suffixes.setdefault(token[i:], -1)
-            self.suffixes[token] = number
-        self.letters = {n: t for t, n in self.encoder.library.get_vocab(with_added_tokens=False).items()}
+        vocabulary = self.encoder.library.get_vocab(with_added_tokens=False)
+        # For each ending of a token the tokens that it ends with, the longest first.
+        self.suffixes: dict[str, tuple[tuple[int, int], ...]] = {"": ()}
+        for suffix in sorted({t[i:] for t in vocabulary for i in range(len(t))}, key=len):
+            shorter = self.suffixes[suffix[1:]]
+            number = vocabulary.get(suffix)
+            self.suffixes[suffix] = shorter if number is None else ((len(suffix), number), *shorter)
+        del self.suffixes[""]
+        self.letters = {n: t for t, n in vocabulary.items()}
         self.follows: dict[int, bool] = {}
         self.seen: dict[str, tuple[int, bytes]] = {}
         self.pool = Pool(self._words, np.int32, _PIECES)
@@ -57,10 +65,11 @@ class PrefixCounter:
 
     def _prefixes(self, letters: str) -> bytes | list[int]:
         """The count at each byte of one piece."""
-        if len(letters) > _REMEMBERED_LENGTH:
+        n = len(letters)
+        if n > _REMEMBERED_LENGTH:
             return self._walk(letters)
-        seen = self.seen
-        known, unknown = 0, len(letters) + 1  # with a prefix all its prefixes are remembered
+        seen, ending_of, follow = self.seen, self.suffixes.get, self.follows.get
+        known, unknown = 0, n + 1  # with a prefix all its prefixes are remembered
         while unknown - known > 1:
             middle = (known + unknown) // 2
             if letters[:middle] in seen:
@@ -68,15 +77,21 @@ class PrefixCounter:
             else:
                 unknown = middle
         last, counts = seen[letters[:known]] if known else (-1, b"")
-        for i in range(known + 1, len(letters) + 1):
-            for size, token in self._ending(letters, i):
-                before = seen[letters[: i - size]][0] if i > size else -1
-                if self._stands(before, token):
-                    last, count = token, (counts[i - size - 1] if i > size else 0) + 1
+        for i in range(known + 1, n + 1):
+            ending, begin = (), i - 1
+            while begin >= 0 and (longer := ending_of(letters[begin:i])) is not None:
+                ending = longer
+                begin -= 1
+            for size, token in ending:
+                begin = i - size
+                before = seen[letters[:begin]][0] if begin else -1
+                stands = follow(before << 32 | token)
+                if self._stands(before, token) if stands is None else stands:
+                    last, count = token, (counts[begin - 1] if begin else 0) + 1
                     break
             else:
                 last, count = self._encoded(letters[:i])
-            counts += bytes((count,))
+            counts += _BYTES[count]
             seen[letters[:i]] = last, counts
         return counts
 
@@ -93,33 +108,39 @@ class PrefixCounter:
                 states.append(self._encoded(letters[:i]))
         return [count for _, count in states[1:]]
 
-    def _ending(self, letters: str, i: int) -> list[tuple[int, int]]:
-        """Tokens that end at ``i``, the longest first."""
-        get, found, begin = self.suffixes.get, [], i - 1
-        while begin >= 0 and (token := get(letters[begin:i])) is not None:
-            if token >= 0:
-                found.append((i - begin, token))
+    def _ending(self, letters: str, i: int) -> tuple[tuple[int, int], ...]:
+        """(size, token) of the tokens that end at ``i``, the longest first."""
+        ending, begin = (), i - 1
+        while begin >= 0 and (longer := self.suffixes.get(letters[begin:i])) is not None:
+            ending = longer
             begin -= 1
-        found.reverse()
-        return found
+        return ending
 
     def _encoded(self, letters: str) -> tuple[int, int]:
         found = self.encoder.model.tokenize(letters)
         return found[-1].id, len(found)
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.seen) > _REMEMBERED:
-            self.seen.clear()
-        parts: list[int] = []
+        if len(self.seen) > _REMEMBERED:  # the short ones are shared by many words
+            self.seen = {k: v for k, v in self.seen.items() if len(k) <= _SHORT}
+        parts, long = [], []
         for word, letters in zip(words, byte_strings(words), strict=True):
             counts = self._prefixes(letters)
-            if len(letters) > len(word):
-                ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in word]) - 1
-                counts = [counts[e] for e in ends.tolist()]
+            if len(letters) > len(word):  # a character counts at its last byte
+                last = word.encode("utf-8", "surrogatepass")[1:].translate(_IS_FIRST_BYTE) + b"\1"
+                counts = type(counts)(compress(counts, last))
             if word in ("'re", "'ve", "'ll"):  # cut short it is an apostrophe and a letter
-                counts = [counts[0], counts[0] + self._prefixes(word[1])[0], counts[2]]
-            parts += counts
-        return np.array(parts, np.int32), np.fromiter(map(len, words), np.int64, len(words))
+                counts = bytes((counts[0], counts[0] + self._prefixes(word[1])[0], counts[2]))
+            if type(counts) is list:
+                long.append((len(parts), counts))
+                counts = bytes(len(counts))
+            parts.append(counts)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        values = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32)
+        ends = np.cumsum(sizes)
+        for place, counts in long:
+            values[ends[place] - sizes[place] : ends[place]] = counts
+        return values, sizes
 
     def counts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text the number of tokens of its first 1, 2 ... characters."""
