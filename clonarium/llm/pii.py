@@ -3,7 +3,8 @@
 Regular expressions propose spans; numbers must pass their checksum (Luhn for cards, mod-97
 for bank accounts) or range; words shortly before a span raise its score. Spans are counted in
 code points with the end excluded. Per kind they are the leftmost matches that do not overlap;
-spans of different kinds may.
+spans of different kinds may. An account number is as long as its country says, whatever stands
+after it, and is tried at every place where one may begin.
 
 The patterns are written so that matching stays linear in the text: what a shorter start
 could not match is not tried again, and repeated groups give nothing back. Positions come from
@@ -33,6 +34,28 @@ class Kind:
     hint: str  # only texts that match this are searched
     context: tuple[str, ...]
     score: float
+    head: int = 0  # if any, the pattern takes so many characters, and the match is its group 1 from there on
+
+
+# Characters of an account number by country: the registry of ISO 13616, and countries that use the form without an entry.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Takes the first four characters, no two of which can overlap, so that no number hides another."""
+
+    def blocks(length: int) -> str:
+        whole, rest = divmod(length - 4, 4)
+        return rf"(?:\x20?[A-Z0-9]{{4}}){{{whole}}}" + (rf"\x20?[A-Z0-9]{{{rest}}}" if rest else "")
+
+    numbers = "|".join(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}{blocks(n)}" for n, names in IBAN_COUNTRIES.items())
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?=({numbers})(?![A-Z0-9]))[A-Z0-9]{{4}}"
 
 
 # In the order that breaks ties between spans of one start.
@@ -42,7 +65,7 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", ("ip", "host", "server", "address"), 0.6),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", ("card", "visa", "credit", "payment"), 0.7),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", ("phone", "call", "tel", "mobile", "fax"), 0.6),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", "", ("iban", "account", "bank"), 0.8),
+    Kind("iban", _iban_pattern(), "", ("iban", "account", "bank"), 0.8, head=4),
 )
 CONTEXT_BONUS = 0.1
 
@@ -113,25 +136,29 @@ _SPAN = "struct<start: long, rank: int, end: long, kind: string, score: double>"
 
 def _matches(kind: Kind) -> Column:
     """All matches of a kind's pattern; texts without its hint are not searched."""
-    found = F.regexp_extract_all("_text", F.lit(kind.pattern), F.lit(0))
+    found = F.regexp_extract_all("_text", F.lit(kind.pattern), F.lit(1 if kind.head else 0))
     hint = F.instr("_text", kind.hint) > 0 if kind.hint else F.lit(True)
     return F.when(hint, found).otherwise(F.expr("cast(array() as array<string>)"))
 
 
 def _spans(kind: Kind, rank: int) -> Column:
-    """The confirmed matches in column ``_<kind>`` with positions and scores."""
+    """The confirmed matches in column ``_<kind>`` with positions and scores; those of a kind with a
+    head may overlap."""
     found = F.col(f"_{kind.name}")
     pieces, ends = F.col(f"_{kind.name}_pieces"), F.col(f"_{kind.name}_ends")
     words = "|".join(kind.context)
 
     def span(match: Column, i: Column) -> Column:
-        near = F.lower(F.right(F.get(pieces, i), F.lit(CONTEXT_CHARS)))
+        before = F.get(pieces, i)
+        if kind.head:  # the rest of the match before stands in the piece
+            before = F.substr(before, F.coalesce(F.length(F.get(found, i - 1)) - kind.head, F.lit(0)) + 1)
+        near = F.lower(F.right(before, F.lit(CONTEXT_CHARS)))
         score = F.lit(kind.score) + F.when(near.rlike(words), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
-        end = F.get(ends, i)
+        start = F.get(ends, i) - (kind.head or F.length(match))
         return F.when(
             _confirmed(kind.name, match),
             F.struct(
-                (end - F.length(match)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
+                start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(match)).alias("end"),
                 F.lit(kind.name).alias("kind"), F.round(score, 2).alias("score"),
             ),
         )
@@ -140,6 +167,21 @@ def _spans(kind: Kind, rank: int) -> Column:
     return F.when(F.size(found) > 0, listed).otherwise(F.expr(f"cast(array() as array<{_SPAN}>)"))
 
 
+def _apart(kind: Kind) -> Column:
+    """The spans in column ``_<kind>_spans`` without those that begin within an earlier one that stays."""
+    spans = F.col(f"_{kind.name}_spans")
+    if not kind.head:
+        return spans
+
+    def step(kept: Column, span: Column) -> Column:
+        within = (F.size(kept) > 0) & (span["start"] < F.element_at(kept, -1)["end"])
+        return F.when(within, kept).otherwise(F.concat(kept, F.array(span)))
+
+    later = F.when(F.size(spans) > 1, F.sequence(F.lit(1), F.size(spans) - 1))
+    some = F.exists(later, lambda i: F.get(spans, i)["start"] < F.get(spans, i - 1)["end"])
+    return F.when(some, F.aggregate(spans, F.expr(f"cast(array() as array<{_SPAN}>)"), step)).otherwise(spans)
+
+
 def find_pii(docs: DataFrame, text_col: str = "text", into: str = "pii") -> DataFrame:
     """``docs`` with the spans in ``into``: start, end, kind and score, by start then kind."""
     # The row goes along as one column, so that no name of its can clash.
@@ -150,11 +192,12 @@ def find_pii(docs: DataFrame, text_col: str = "text", into: str = "pii") -> Data
 
     def ends(kind: Kind) -> Column:
         found, pieces = F.col(f"_{kind.name}"), F.col(f"_{kind.name}_pieces")
-        steps = F.transform(found, lambda m, i: (F.length(F.get(pieces, i)) + F.length(m)).cast("long"))
+        steps = F.transform(found, lambda m, i: (F.length(F.get(pieces, i)) + (kind.head or F.length(m))).cast("long"))
         return F.when(some[kind.name], running_sums(steps))
 
     rows = rows.withColumns({f"_{k.name}_ends": ends(k) for k in KINDS})
-    spans = F.array_sort(F.concat(*(_spans(k, rank) for rank, k in enumerate(KINDS))))
+    rows = rows.withColumns({f"_{k.name}_spans": _spans(k, rank) for rank, k in enumerate(KINDS)})
+    spans = F.array_sort(F.concat(*map(_apart, KINDS)))
     return rows.select("_row.*", spans.alias(into))
 
 

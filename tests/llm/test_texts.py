@@ -74,6 +74,50 @@ def test_account_numbers_and_context(spark):
                      [("iban", 5, 27, 0.8)]]
 
 
+def plain_accounts(text):
+    """Every place tried with its country's length, by hand; the leftmost that do not overlap."""
+    lengths = {c: n for n, names in pii.IBAN_COUNTRIES.items() for c in names.split()}
+    found, end = [], 0
+    for at in range(len(text)):
+        length, taken, stop = lengths.get(text[at : at + 2], 0), "", at
+        while len(taken) < length and stop < len(text):
+            if text[stop] == " " and taken and len(taken) % 4 == 0 and text[stop - 1] != " ":
+                stop += 1
+                continue
+            if not re.match("[A-Z0-9]", text[stop]):
+                break
+            taken, stop = taken + text[stop], stop + 1
+        whole = length and len(taken) == length and re.match("[0-9]{2}", taken[2:4]) and not re.match("[A-Z0-9]", text[stop : stop + 1])
+        if whole and int("".join(str(int(c, 36)) for c in taken[4:] + taken[:4])) % 97 == 1 and at >= end:
+            end = stop
+            found.append((at, end))
+    return found
+
+
+def test_account_numbers_next_to_other_blocks(spark):
+    cases = {
+        "AT61 1904 3002 3457 3201 BIC BKAUATWW": [(0, 24)],
+        "BE68 5390 0754 7034 EUR": [(0, 19)],
+        "REF20 GB82 WEST 1234 5698 7654 32": [(6, 33)],
+        "BE20 GB82 WEST 1234 5698 7654 32 1": [(5, 32)],
+        "ES9121000418450200051332 SE45 5000 0000 0583 9825 7466 PL61 1090 1014 0000 0712 1981 2874": [(0, 24), (25, 54), (55, 89)],
+        "CZ65 0800 0000 1920 0014 5399 A1, NO93 8601 1117 947 X": [(0, 29), (34, 52)],
+        "IBANGB82WEST12345698765432": [(4, 26)],
+        "GB82 WEST 1234 5698 7654 321": [],
+        "é AT61  1904 3002 3457 3201": [],
+    }
+    numbers = ["AT611904300234573201", "BE68 5390 0754 7034", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+    drawn = random.Random(3)
+    parts = [*numbers, *numbers, "BIC", "EUR", "REF20", "DE89", "BE20", "A", "1", "é", "-", "BKAUATWW", "iban"]
+    drawn_texts = ["".join(drawn.choice(parts) + drawn.choice([" ", " ", " ", "", "  "]) for _ in range(drawn.randrange(9))) for _ in range(400)]
+    texts = [*cases, *drawn_texts]
+    assert [plain_accounts(t) for t in cases] == list(cases.values())
+    found = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.text: [(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in found}
+    assert got == {t: plain_accounts(t) for t in texts}
+    assert sum(map(len, got.values())) > 300
+
+
 def test_running_sums_over_several_blocks(spark):
     row = spark.range(1).select(pii.running_sums(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda x: x.cast("long"))).alias("s"))
     assert row.first().s == np.cumsum(np.arange(1, 1001)).tolist()
