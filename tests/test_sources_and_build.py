@@ -12,6 +12,7 @@ from clonarium.plans.build import Sources, build_store, check_store
 from clonarium.plans.contracts import CONTRACTS, type_mismatches
 from clonarium.sources import delimited, headed
 from clonarium.sources.store import read_table, source_provenance, write_table
+from testdata_queries import jobs
 
 MUTATIONS = """patient_id\tpatient_tumour\ttumour_id\tsample_name_hash\tmutation_id\tchr\tstart\tstop\tpos\tref\tvar\tvar_count\tcov\tvaf\tis_present\tmutation_cluster
 LTX0001\tLTX0001_tumour1\t1\tLTX0001_SU_T1-R1--aa\tLTX0001_1:17:100:G:T\tchr17\t100\t100\t100\tG\tT\t5\t20\t0.25\tTrue\t1.0
@@ -364,3 +365,14 @@ def test_session_settings_and_scratch_are_put_back(spark, sources, tmp_path):
     import pathlib
 
     assert not list(pathlib.Path(folder.removeprefix("file:")).glob("job-*"))
+
+
+def test_every_customer_is_in_a_proportion_file(spark):
+    class Given:
+        def __init__(self):
+            self.spark = spark
+            self.customer = spark.range(50).selectExpr("id AS c_custkey", "int(id % 25) AS c_nationkey")
+
+    rows = spark.read.text(jobs._proportion_files(Given())).where("value NOT LIKE '%shared%'")
+    names = sorted(int(r.value.split(",")[0].removeprefix("clone")) for r in rows.collect())
+    assert names == list(range(50))
