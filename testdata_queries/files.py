@@ -175,6 +175,30 @@ def source_provenance(t):
     return found.select(name, F.length("digest").alias("digest_chars"), (F.col("n_bytes") > 0).alias("has_size")).distinct()
 
 
+@query()
+def source_files(t):
+    """One row per file of the tables with its real digest and size; tested against hashlib."""
+    found = store.source_provenance(t.spark, f"{t.sf_dir}/*.parquet")
+    name = F.regexp_extract("path", r"/([^/]+\.parquet(?:/.*)?)$", 1).alias("file")
+    return found.select(name, "n_bytes", "digest")
+
+
+_HEADERS = {"A": ["l_orderkey"], "N": ["l_orderkey", "l_linenumber"], "R": ["l_orderkey", "l_linenumber", "l_quantity", "l_tax"]}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT DISTINCT '{flag}' AS folder, {len(names)} AS n_columns FROM lineitem WHERE l_returnflag = '{flag}'"
+    for flag, names in _HEADERS.items()
+))
+def header_widths(t):
+    """The columns that the headers of three text files written from lineitem name."""
+    root = scratch_path(t.spark, "headers")
+    for flag, names in _HEADERS.items():
+        rows = t.lineitem.where(F.col("l_returnflag") == flag).select(names)
+        rows.repartition(1).write.options(header=True, sep="\t").csv(f"{root}/{flag}")
+    return store.header_sizes(t.spark, f"{root}/*").select(headed.key_from_directory().alias("folder"), "n_columns")
+
+
 @query("""
     SELECT l_returnflag AS tumour_id, CASE l_returnflag WHEN 'A' THEN 'line longer than the header'
              WHEN 'N' THEN 'line shorter than the header' ELSE '' END AS reason,

@@ -12,7 +12,8 @@ from clonarium.plans.build import Sources, build_store, check_store
 from clonarium.plans.contracts import CONTRACTS, type_mismatches
 from clonarium.sources import delimited, headed
 from clonarium.sources.store import read_table, source_provenance, write_table
-from testdata_queries import jobs
+from testdata_queries import files, jobs
+from testdata_queries.registry import Tables
 
 MUTATIONS = """patient_id\tpatient_tumour\ttumour_id\tsample_name_hash\tmutation_id\tchr\tstart\tstop\tpos\tref\tvar\tvar_count\tcov\tvaf\tis_present\tmutation_cluster
 LTX0001\tLTX0001_tumour1\t1\tLTX0001_SU_T1-R1--aa\tLTX0001_1:17:100:G:T\tchr17\t100\t100\t100\tG\tT\t5\t20\t0.25\tTrue\t1.0
@@ -376,3 +377,15 @@ def test_every_customer_is_in_a_proportion_file(spark):
     rows = spark.read.text(jobs._proportion_files(Given())).where("value NOT LIKE '%shared%'")
     names = sorted(int(r.value.split(",")[0].removeprefix("clone")) for r in rows.collect())
     assert names == list(range(50))
+
+
+def test_each_source_file_has_its_own_digest(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/one.parquet")
+    spark.range(40).repartition(3).write.parquet(f"{tmp_path}/several.parquet")
+    (tmp_path / "whole.parquet").write_bytes(b"one file")
+    (tmp_path / "other.txt").write_text("not a table")
+    parts = [f for f in tmp_path.rglob("*.parquet") if f.is_file()]
+    wanted = {(str(f.relative_to(tmp_path)), f.stat().st_size, hashlib.sha256(f.read_bytes()).hexdigest()) for f in parts}
+    found = files.source_files(Tables(spark, str(tmp_path))).collect()
+    assert len(found) == len(parts) >= 5
+    assert {tuple(r) for r in found} == wanted
