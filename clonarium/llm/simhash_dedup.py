@@ -10,7 +10,8 @@ points of one cell are compared; first by Manhattan distance, then bit by bit.
 Only distinct fingerprints enter the grid; copies share one. A cell returns a spanning set of
 its links, never all pairs. Cells too large to compare at once are searched outwards from one
 point at a time, each found point leaving the search, so a cluster around one fingerprint
-takes little more than one pass.
+takes little more than one pass. No task holds a cell of more than ``_TOGETHER`` fingerprints:
+it is cut into parts of that size, and every two parts meet in a group of their own.
 
 Null text counts as empty and has no words, hence fingerprint zero, which links like any
 other. A null id never names a component unless all its members' ids are null. Repeated rows
@@ -34,6 +35,7 @@ from clonarium.llm.components import components
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 _SEGMENTS = 32
 _AT_ONCE = 2048  # fingerprints of a cell that are compared pair by pair
+_TOGETHER = 8192  # fingerprints of a cell that one task holds
 _GROUPS = np.array_split(np.arange(_SEGMENTS), 2 * MAX_BITS)
 _HASHES_AT_ONCE = 1 << 16
 
@@ -114,7 +116,8 @@ def cell_links(bits: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, in
             found = near(one := waiting.pop(), left)
             links += [(one, int(f)) for f in found]
             waiting += found.tolist()
-            left = np.setdiff1d(left, found, assume_unique=True)
+            if len(found):
+                left = np.setdiff1d(left, found, assume_unique=True)
     return links
 
 
@@ -134,8 +137,11 @@ def _spanning(n: int, links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links that join all distinct ``bits`` within MAX_BITS of each other."""
+def fingerprint_links(distinct: DataFrame, together: int = _TOGETHER) -> DataFrame:
+    """(a, b): links that join all distinct ``bits`` within MAX_BITS of each other.
+
+    Cells of more than ``together`` are cut into parts, of which every two are compared.
+    """
 
     def deal(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,32 +151,69 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
                 [pa.array(keys.ravel()), pa.array(np.repeat(bits, keys.shape[1]))], names=["cell", "bits"]
             )
 
-    def compare(batches) -> Iterator[pa.RecordBatch]:
-        for key, bits in _cell_groups(batches):
-            links = cell_links(bits.view(np.uint64))
-            if links:
-                a, b = np.array(links).T
-                yield pa.RecordBatch.from_arrays([pa.array(bits[a]), pa.array(bits[b])], names=["a", "b"])
+    def compare(limit: int):
+        def run(batches) -> Iterator[pa.RecordBatch]:
+            for key, part, bits in _cell_groups(batches, limit):
+                if part is None:
+                    links = np.array(cell_links(bits.view(np.uint64)), np.int64).reshape(-1, 2)
+                    a, b = bits[links[:, 0]], bits[links[:, 1]]
+                    cell = number = pa.nulls(len(a), pa.int64())
+                else:
+                    a, b = bits, pa.nulls(len(bits), pa.int64())
+                    cell, number = (pa.array(np.full(len(bits), x, np.int64)) for x in (key, part))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([cell, number, pa.array(a), pa.array(b)], names=["cell", "part", "a", "b"])
+
+        return run
 
-    dealt = distinct.mapInArrow(deal, "cell long, bits long")
     n = block_count(distinct.sparkSession)
-    sorted_cells = dealt.repartition(n, "cell").sortWithinPartitions("cell")
-    return sorted_cells.mapInArrow(compare, "a long, b long")
+
+    def compared(cells: DataFrame, limit: int) -> DataFrame:
+        sorted_cells = cells.repartition(n, "cell").sortWithinPartitions("cell")
+        return sorted_cells.mapInArrow(compare(limit), "cell long, part long, a long, b long")
+
+    first = materialize(compared(distinct.mapInArrow(deal, "cell long, bits long"), together), "cell-links")
+    parts = first.where("cell is not null").select("cell", "part", F.col("a").alias("bits"))
+    # One row per cut cell.
+    last = F.broadcast(parts.groupBy("cell").agg(F.max("part").alias("last")))
+    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("last")), lambda p: p != F.col("part"))).alias("other")
+    met = parts.join(last, "cell").select("cell", "part", "bits", other)
+    pair = F.xxhash64("cell", F.least("part", "other"), F.greatest("part", "other")).alias("cell")
+    pairs = compared(met.select(pair, "bits"), np.iinfo(np.int64).max)
+    return first.where("cell is null").select("a", "b").unionByName(pairs.select("a", "b"))
 
 
-def _cell_groups(batches) -> Iterator[tuple[int, np.ndarray]]:
-    """Cells with several fingerprints from rows sorted by cell."""
+def _cell_groups(batches, limit: int) -> Iterator[tuple[int, int | None, np.ndarray]]:
+    """(cell, null, fingerprints) of cells with several from rows sorted by cell; larger ones than
+    ``limit`` come in parts with their numbers, at least two."""
     held_keys, held_bits = np.empty(0, np.int64), np.empty(0, np.int64)
+    given = 0  # parts of the cell held that have been given
+
+    def whole(key: int, bits: np.ndarray) -> Iterator[tuple[int, int | None, np.ndarray]]:
+        if not given and len(bits) <= limit:
+            yield key, None, bits
+        else:
+            for number, begin in enumerate(range(0, len(bits), limit), given):
+                yield key, number, bits[begin : begin + limit]
+
     for batch in batches:
         keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
         bits = np.concatenate([held_bits, batch.column(1).to_numpy()])
         edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         edges = np.concatenate([[0], edges, [len(keys)]])
-        for i in np.flatnonzero(np.diff(edges[:-1]) > 1).tolist():
-            yield int(keys[edges[i]]), bits[edges[i] : edges[i + 1]]
+        several = np.diff(edges[:-1]) > 1
+        several[:1] |= given > 0
+        for i in np.flatnonzero(several).tolist():
+            yield from whole(int(keys[edges[i]]), bits[edges[i] : edges[i + 1]])
+            given = 0
+        if len(several):
+            given = 0
         held_keys, held_bits = keys[edges[-2] :], bits[edges[-2] :]
-    if len(held_bits) > 1:
-        yield int(held_keys[0]), held_bits
+        while len(held_bits) > limit:
+            yield int(held_keys[0]), given, held_bits[:limit]
+            given, held_keys, held_bits = given + 1, held_keys[limit:], held_bits[limit:]
+    if len(held_bits) > 1 or given:
+        yield from whole(int(held_keys[0]), held_bits)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc_id") -> DataFrame:

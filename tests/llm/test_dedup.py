@@ -209,3 +209,32 @@ def test_suffix_dedup_of_repeated_null_and_no_rows(twice, no_docs):
     assert [(r.n_bytes, bytes(r.kept)) for r in rows] == [(w[0], w[3]) for w in [wanted[i] for i in (0, 1, 2, 3, 4, 5)]]
     assert hashlib.sha256(bytes(rows[0].kept)).hexdigest() == hashlib.sha256(b"").hexdigest()
     assert suffix_dedup.remove_repeats(no_docs).collect() == []
+
+
+def test_simhash_large_cells_are_cut(spark):
+    import pyarrow as pa
+
+    # A crowd 5-15 bits from one fingerprint, which fills cells without linking, and some close ones.
+    drawn = random.Random(11)
+    center = drawn.getrandbits(64)
+
+    def off(bits):
+        return center ^ sum(1 << b for b in drawn.sample(range(64), bits))
+
+    bits = sorted({off(drawn.choice([1, 2, 5, 6, 7, 9, 15])) for _ in range(700)})
+    frame = spark.createDataFrame([(b - (1 << 64) if b >> 63 else b,) for b in bits], "bits long")
+    links = simhash_dedup.fingerprint_links(frame, together=20).collect()
+    number = {b: i for i, b in enumerate(bits)}
+    joined = {(number[a % 2**64], number[b % 2**64]) for a, b in ((r.a, r.b) for r in links)}
+    assert all((bits[a] ^ bits[b]).bit_count() <= 3 for a, b in joined)
+    joined |= {(b, a) for a, b in joined}
+    assert label(len(bits), lambda a, b: (a, b) in joined) == label(len(bits), lambda a, b: (bits[a] ^ bits[b]).bit_count() <= 3)
+
+    keys = np.repeat([1, 2, 3, 4, 5, 6], [1, 50, 2, 20, 21, 41])
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.arange(len(keys)))], names=["cell", "bits"])
+    for size in (1, 7, 20, 1000):
+        given = list(simhash_dedup._cell_groups((rows.slice(i, size) for i in range(0, len(keys), size)), 20))
+        assert [(k, p, len(b)) for k, p, b in given] == [
+            (2, 0, 20), (2, 1, 20), (2, 2, 10), (3, None, 2), (4, None, 20), (5, 0, 20), (5, 1, 1), (6, 0, 20), (6, 1, 20), (6, 2, 1),
+        ]
+        assert np.concatenate([b for _, _, b in given]).tolist() == list(range(1, len(keys)))
