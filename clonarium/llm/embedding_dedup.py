@@ -6,7 +6,8 @@ and rounded down; only vectors that share a bucket in some table are compared, b
 cosine in double precision. The number of projections grows with the logarithm of the number
 of vectors, so that a bucket holds few strangers at any size, and the number of tables follows
 from it so that a pair right at the threshold is found with probability ``RECALL``; closer
-pairs are found more often.
+pairs are found more often. The hash functions thus change with the number of distinct vectors:
+a pair right at the threshold may be found in one table and missed in a larger or smaller one.
 
 Exact copies share one entry with a weight. A bucket of more than ``BLOCK_ROWS`` vectors is
 split into blocks, and every two blocks meet in a task of their own: all its pairs are
