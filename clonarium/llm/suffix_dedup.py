@@ -14,9 +14,14 @@ hundredfold, so only sampled suffixes are sorted, chosen so that nothing is lost
    is kept as a candidate: its runs may still share some windows.
 3. The candidates' bytes are fetched, range-partitioned by gram the same way, and each
    bucket's suffixes are sorted by multikey quicksort over eight-byte words and compared with
-   their neighbours byte for byte.
+   their neighbours byte for byte. A gram with many candidates, such as that of a common line
+   among ever different neighbours, is taken apart first: windows with the gram at about the
+   same place go under the longer string they must share. Where that crowds as well, the place
+   is told more closely, at last for each window. So what a task compares at once is bounded.
 4. Repeated windows are merged per document and cut out.
 
+The number of buckets follows the bytes of the texts, which are counted.
+
 Fingerprints only bring suffixes together in step 3. In step 2 equal runs are told by 128
 bits, gram and run. Null text counts as empty and loses nothing; a null id sorts before all
 others; equal ids are ordered by text, and rows that also have the same text share one
@@ -30,13 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clonarium.llm.bpe import _powers, ragged
 from clonarium.llm.common import block_count, documents, materialize, sliding, with_positions
-from clonarium.session import estimated_bytes
 
 SPAN, GRAM = 100, 32
 _BASE = 0x9E3779B97F4A7C15
@@ -45,10 +48,16 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STRETCH = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 _FLUSH_ROWS = 1 << 18
-BUCKET_BYTES = 64 << 20  # of input, by Catalyst's estimate
+BUCKET_BYTES = 64 << 20  # of text
+# Candidates that are compared as one group; larger groups are taken apart.
+CROWD = 256
+# Windows of a piece of a candidate taken apart; halved while that crowds, so a power of two.
+PIECE = 8
+# Sampled suffixes for each splitter, about.
+DRAWN = 1000
 SUFFIX_SCHEMA = "bucket int, gram long, run long, doc_id long, first long, last long, at long"
 WINDOW_SCHEMA = "doc_id long, first long, last long"
-BODY_SCHEMA = "bucket int, gram long, doc_id long, first long, body binary, known boolean"
+BODY_SCHEMA = "bucket int, gram long, doc_id long, first long, last long, at long, body binary, piece boolean"
 REPEAT_SCHEMA = "bucket int, gram long, doc_id long, first long, last long, at long, settled boolean"
 
 
@@ -83,8 +92,8 @@ def sampled_suffixes(text: bytes) -> tuple[np.ndarray, ...]:
 class Splitters:
     """Bucket bounds from sampled leading grams; a gram drawn often gets buckets of its own."""
 
-    def __init__(self, grams: list[int]):
-        self.grams = np.array(sorted(grams), np.int64)
+    def __init__(self, grams: np.ndarray):
+        self.grams = np.sort(grams)
 
     def bucket(self, gram: np.ndarray, run: np.ndarray) -> np.ndarray:
         low = np.searchsorted(self.grams, gram, "left")
@@ -94,9 +103,9 @@ class Splitters:
         return (low + share).astype(np.int32)
 
 
-def _suffix_batch(columns: list[np.ndarray], splitters: Splitters | None) -> pa.RecordBatch:
+def _suffix_batch(columns: list[np.ndarray], splitters: Splitters) -> pa.RecordBatch:
     gram, run, doc, first, last, at = columns
-    bucket = splitters.bucket(gram, run) if splitters else np.zeros(len(gram), np.int32)
+    bucket = splitters.bucket(gram, run)
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket), pa.array(gram), pa.array(run), pa.array(doc), pa.array(first), pa.array(last), pa.array(at)],
         names=["bucket", "gram", "run", "doc_id", "first", "last", "at"],
@@ -131,25 +140,54 @@ def _firsts(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def bucket_count(keyed: DataFrame) -> int:
+def text_size(keyed: DataFrame) -> tuple[int, int]:
+    """Documents and bytes of text, counted: the planner's estimate may be off by any factor."""
+    row = keyed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size")).first()
+    return row["n"], row["size"] or 0
+
+
+def bucket_count(spark: SparkSession, n_bytes: int) -> int:
     """Enough buckets that each, a bucket being sorted in memory, stays small."""
-    return block_count(keyed.sparkSession, -(-estimated_bytes(keyed) // BUCKET_BYTES))
+    return block_count(spark, -(-n_bytes // BUCKET_BYTES))
+
 
+def sampled_bounds(keyed: DataFrame, buckets: int, n_docs: int, n_bytes: int) -> np.ndarray:
+    """Leading grams that cut a sample into about ``buckets`` equal parts, in order.
 
-def repeated_suffixes(keyed: DataFrame) -> tuple[DataFrame, Splitters]:
-    """Steps 1 and 2 over (position, text): settled repeats and candidates, and the splitters."""
-    buckets = bucket_count(keyed)
+    The sample is counted and sorted by Spark and every so-manieth gram of a partition is a bound,
+    as often as it fills a step, so eight bytes a bucket reach the driver.
+    """
+    if buckets < 2 or not n_docs:
+        return np.empty(0, np.int64)
 
     def sample(batches):
         for columns in _gather(batches):
-            yield _suffix_batch(columns, None)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0])], names=["gram"])
+
+    # A suffix in some 35 bytes; whole documents are drawn, at least 100 a bucket.
+    share = max(DRAWN * buckets * 35 / max(n_bytes, 1), 100 * buckets / n_docs, 0.001)
+    drawn = keyed.sample(share, seed=1) if share < 1 else keyed
+    counted = materialize(drawn.mapInArrow(sample, "gram long").groupBy("gram").count(), "sampled-grams")
+    total = counted.agg(F.sum("count")).first()[0] or 0
+    step = max(1, total // buckets)
+
+    def pick(batches):
+        seen = step // 2
+        for batch in batches:
+            ends = seen + np.cumsum(batch.column("count").to_numpy())
+            steps = ends // step - np.append(seen, ends[:-1]) // step
+            seen = ends[-1] if len(ends) else seen
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("gram").to_numpy(), steps))], names=["gram"])
 
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = []
-    if shares:
-        drawn = keyed.sample(_sample_share(keyed, buckets), seed=1).mapInArrow(sample, SUFFIX_SCHEMA)
-        bounds = drawn.agg(F.percentile_approx("gram", shares, 100 * buckets)).first()[0] or []
-    splitters = Splitters(bounds)
+    picked = counted.sort("gram").mapInArrow(pick, "gram long").toArrow()
+    return np.sort(picked.column("gram").to_numpy())
+
+
+def repeated_suffixes(keyed: DataFrame, buckets: int, n_docs: int, n_bytes: int) -> DataFrame:
+    """Steps 1 and 2 over (position, text): settled repeats and candidates."""
+    splitters = Splitters(sampled_bounds(keyed, buckets, n_docs, n_bytes))
+    # Bounds are about as many as asked for.
+    buckets = len(splitters.grams) + 1
 
     def emit(batches):
         # Combine before the shuffle: only the first of equal runs can be the first of all.
@@ -165,13 +203,7 @@ def repeated_suffixes(keyed: DataFrame) -> tuple[DataFrame, Splitters]:
     # Rows known to be repeats need no company; they stay out of the buckets.
     dealt = F.pmod(F.xxhash64("doc_id", "first"), F.lit(buckets)).cast("int")
     home = F.when(F.col("bucket") < 0, dealt).otherwise(F.col("bucket"))
-    return suffixes.repartitionById(buckets, home).mapInArrow(_compare, REPEAT_SCHEMA), splitters
-
-
-def _sample_share(keyed: DataFrame, buckets: int) -> float:
-    """Enough documents for the splitters: about a hundred for each bucket, at least 1 in 1000."""
-    n = keyed.count()
-    return min(1.0, max(0.001, 100 * buckets / max(n, 1)))
+    return suffixes.repartitionById(buckets, home).mapInArrow(_compare, REPEAT_SCHEMA)
 
 
 def _compare(batches) -> Iterator[pa.RecordBatch]:
@@ -242,15 +274,10 @@ def _compare_bytes(batches) -> Iterator[pa.RecordBatch]:
     if not batches:
         return
     table = pa.Table.from_batches(batches).combine_chunks()
-    known = table.filter(table.column("known"))
-    yield from known.select(["doc_id", "first", "first"]).rename_columns(["doc_id", "first", "last"]).to_batches()
-    table = table.filter(pc.invert(table.column("known")))
-    if not table.num_rows:
-        return
     gram, doc, first = (table.column(n).to_numpy() for n in ("gram", "doc_id", "first"))
     bodies = table.column("body").to_pylist()
     order = np.lexsort((first, doc, gram))
-    # Grams are compared a bounded number of windows at a time, never cut in two.
+    # Groups of one gram, which are bounded, are compared a bounded number of windows at a time.
     sizes = np.fromiter((len(bodies[i]) - SPAN + 1 for i in order.tolist()), np.int64, len(order))
     edges = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
     begin = 0
@@ -278,54 +305,126 @@ def _compare_bytes(batches) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _body_rows(spread_grams: frozenset, buckets: int):
-    """The bytes of each candidate's windows, for the buckets in which they are compared.
+def _fingerprint(part: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
+
+
+def _body_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of BODY_SCHEMA; one without a body tells windows known to be repeats."""
+    columns = zip(*rows, strict=True) if rows else ([],) * 8
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=["bucket", "gram", "doc_id", "first", "last", "at", "body", "piece"],
+    )
+
 
-    A gram that fills several buckets is taken apart: each of its windows is a row of its own,
-    dealt by its own fingerprint, so that equal windows still meet. Of a batch's equal ones
-    only the first is compared; the others are repeats already.
+def pieces(body: bytes, first: int, at: int, size: int) -> Iterator[tuple[int, int, bytes]]:
+    """(gram, first window, bytes) of the pieces of some neighbouring windows of one gram.
+
+    ``body`` begins with window ``first``; the gram lies ``at``. Equal windows hold their gram at the
+    same place, ``at`` less the window, so they fall into the same piece of ``size`` windows, all
+    of which cover the same SPAN - size + 1 bytes.
     """
+    last = first + len(body) - SPAN
+    for part in range((at - last) // size, (at - first) // size + 1):
+        high = at - size * part
+        low = high - size + 1
+        begin, end = max(first, low), min(last, high)
+        yield _fingerprint(body[high - first : low - first + SPAN]), begin, body[begin - first : end - first + SPAN]
+
 
-    def emit(batches) -> Iterator[pa.RecordBatch]:
+def _piece_rows(runs: list[tuple[int, int, int, bytes]], size: int, buckets: int) -> list[tuple]:
+    """Rows for the pieces of (doc, first window, gram's place, bytes), in order of age.
+
+    Of equal pieces only the first need be compared; neighbouring ones known thereby share a row.
+    """
+    rows, met = [], set()
+    for doc, first, at, body in sorted(runs):
+        known = None
+        for gram, begin, part in pieces(body, first, at, size):
+            end = begin + len(part) - SPAN
+            if part not in met:
+                met.add(part)
+                rows.append((gram % buckets, gram, doc, begin, end, at, part, True))
+            elif known and known[0] == end + 1:
+                known[0] = begin
+            else:
+                rows += [(0, 0, doc, *known, at, None, False)] if known else []
+                known = [begin, end]
+        rows += [(0, 0, doc, *known, at, None, False)] if known else []
+    return rows
+
+
+def _body_rows(buckets: int):
+    """The bytes of each candidate's windows, for the buckets in which they are compared."""
+
+    def emit_bodies(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, apart = [], []
+            rows, crowded = [], []
             for row in batch.to_pylist():
-                raw = row["text"].encode("utf-8", "surrogatepass")
+                raw, doc = row["text"].encode("utf-8", "surrogatepass"), row["position"]
                 for c in row["runs"]:
-                    if c["gram"] in spread_grams:
-                        apart += [(row["position"], w, raw[w : w + SPAN]) for w in range(c["first"], c["last"] + 1)]
+                    body = raw[c["first"] : c["last"] + SPAN]
+                    if c["crowded"]:
+                        crowded.append((doc, c["first"], c["at"], body))
                     else:
-                        body = raw[c["first"] : c["last"] + SPAN]
-                        rows.append((c["bucket"], c["gram"], row["position"], c["first"], body, False))
-            met = set()
-            for position, window, body in sorted(apart):
-                gram = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
-                rows.append((gram % buckets, gram, position, window, body, body in met))
-                met.add(body)
-            columns = zip(*rows, strict=True) if rows else ([],) * 6
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["bucket", "gram", "doc_id", "first", "body", "known"],
-            )
+                        rows.append((c["bucket"], c["gram"], doc, c["first"], c["last"], c["at"], body, False))
+            yield _body_batch(rows + _piece_rows(crowded, PIECE, buckets))
 
-    return emit
+    return emit_bodies
+
+
+def _smaller_pieces(buckets: int, size: int):
+    """Pieces cut in pieces of ``size`` windows."""
+
+    def emit_pieces(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [(r["doc_id"], r["first"], r["at"], r["body"]) for r in batch.to_pylist()]
+            yield _body_batch(_piece_rows(runs, size, buckets))
+
+    return emit_pieces
+
+
+def _uncrowded(bodies: DataFrame, buckets: int) -> DataFrame:
+    """``bodies`` with the pieces that crowd under one gram cut smaller, at most to single windows."""
+    done, level, size = bodies.where("not piece"), bodies.where("piece"), PIECE
+    while size > 1:
+        heavy = level.groupBy("gram").count().where(F.col("count") > CROWD).select("gram")
+        heavy = materialize(heavy, "crowded-pieces")
+        if heavy.isEmpty():
+            break
+        size //= 2
+        done = done.unionByName(level.join(heavy, "gram", "left_anti"))
+        cut = level.join(heavy, "gram", "left_semi").select(bodies.columns)
+        made = materialize(cut.mapInArrow(_smaller_pieces(buckets, size), BODY_SCHEMA), "pieces")
+        done, level = done.unionByName(made.where("not piece")), made.where("piece")
+    return done.unionByName(level)
 
 
 def repeated_windows(keyed: DataFrame) -> DataFrame:
     """(position, first, last) of all windows of SPAN bytes that also start earlier."""
-    suffixes, splitters = repeated_suffixes(keyed.select("position", "text"))
-    found = materialize(suffixes, "suffixes")
+    keyed = keyed.select("position", "text")
+    n_docs, n_bytes = text_size(keyed)
+    buckets = bucket_count(keyed.sparkSession, n_bytes)
+    found = materialize(repeated_suffixes(keyed, buckets, n_docs, n_bytes), "suffixes")
+    open_ = found.where("not settled")
+    # A gram whose candidates lie in several buckets is taken apart too, so that its windows meet.
+    crowd = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), (F.min("bucket") < F.max("bucket")).alias("apart"))
+    crowd = materialize(crowd.where(F.col("apart") | (F.col("n") > CROWD)).select("gram", F.lit(True).alias("crowded")), "crowded")
+    crowded = F.coalesce("crowded", F.lit(False)).alias("crowded")
     candidates = (
-        found.where("not settled")
+        open_.join(crowd, "gram", "left")
         .groupBy(F.col("doc_id").alias("position"))
-        .agg(F.collect_list(F.struct("bucket", "gram", "first", "last")).alias("runs"))
+        .agg(F.collect_list(F.struct("bucket", "gram", "first", "last", "at", crowded)).alias("runs"))
     )
-    buckets = bucket_count(keyed)
-    rows = keyed.select("position", "text").join(candidates, "position")
-    bodies = rows.mapInArrow(_body_rows(frozenset(splitters.grams.tolist()), buckets), BODY_SCHEMA)
-    compared = bodies.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare_bytes, WINDOW_SCHEMA)
-    settled = found.where("settled").select("doc_id", "first", "last")
+    rows = keyed.join(candidates, "position")
+    bodies = materialize(rows.mapInArrow(_body_rows(buckets), BODY_SCHEMA), "bodies")
+    bodies = _uncrowded(bodies, buckets)
+    known = bodies.where("body is null").select("doc_id", "first", "last")
+    open_bodies = bodies.where("body is not null").select("bucket", "gram", "doc_id", "first", "body")
+    compared = open_bodies.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare_bytes, WINDOW_SCHEMA)
+    settled = found.where("settled").select("doc_id", "first", "last").unionByName(known)
     return settled.unionByName(compared).withColumnRenamed("doc_id", "position")
 
 

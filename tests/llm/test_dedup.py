@@ -193,6 +193,32 @@ def test_suffix_dedup_of_a_gram_that_fills_several_buckets(spark, monkeypatch):
     assert removed(frame) == plain_removal(texts)
 
 
+def test_suffix_dedup_takes_crowded_grams_apart(spark, monkeypatch, docs, texts):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 3)
+    assert removed(docs) == plain_removal([*texts, None])
+    drawn = random.Random(8)
+    lines = ["One line shorter than a span that many texts hold, no. %d." % i for i in range(2)] + ["A longer one, " * 9]
+    crowd = ["".join(drawn.choice("abc ") for _ in range(drawn.randrange(3, 90))) + drawn.choice(lines) + drawn.choice("abc") * 40
+             + str(i % 7) * 40 for i in range(200)]
+    frame = spark.createDataFrame(list(enumerate(crowd)), "doc_id long, text string").repartition(3)
+    assert removed(frame) == plain_removal(crowd)
+
+
+def test_suffix_dedup_counts_buckets_by_bytes(spark, monkeypatch, texts, no_docs):
+    """However the table came about, and whatever the planner thinks of its size."""
+    rows = [(i, t) for i, t in enumerate(texts)]
+    memory = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = memory.join(spark.createDataFrame([(i,) for i in range(len(rows))], "doc_id long"), "doc_id")
+    size = sum(len(t.encode()) for t in texts)
+    for frame in (memory, joined):
+        assert suffix_dedup.text_size(frame) == (len(rows), size)
+    assert suffix_dedup.text_size(no_docs) == (0, 0)
+    assert suffix_dedup.bucket_count(spark, 0) == suffix_dedup.block_count(spark)
+    assert suffix_dedup.bucket_count(spark, 10 << 30) == 160
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 5000)
+    assert removed(joined) == plain_removal(texts)
+
+
 def test_multikey_order():
     words = np.random.default_rng(3).integers(0, 3, (500, 5)).astype(np.uint64)
     order, tied = suffix_dedup.multikey_order(words)
