@@ -36,6 +36,39 @@ _CONFIRMED = " ".join(f"WHEN '{kind}' THEN {test}" for kind, *_, test in _KINDS)
 _LETTERS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# Fields of a leaf, and CRC-32 of a document's id, bit by bit.
+_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _leaf(n_chars: str) -> str:
+    fields = [n_chars if f == "n_chars" else f for f in _FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+_CRC = """xor(list_reduce([CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+                lambda crc, byte: list_reduce([CAST(i AS BIGINT) FOR i IN range(8)],
+                    lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, byte)),
+                4294967295), 4294967295)"""
+
+_TEXT_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_LINES = r"list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]'))"
+_FAILS = {
+    "short": "n_words < 20",
+    "repeats": "100 * n_repeat_words > 30 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "100 * n_dup_lines > 30 * n_lines",
+    "lengths": "(word_chars < 3 * n_words OR word_chars > 10 * n_words)",
+}
+
+
+def _rates() -> str:
+    """The highest shrunk failure rate of a host: f_* failures, m_* the mean, b_* the variance between hosts."""
+    return ", ".join(
+        f"CASE WHEN b_{k} > 0 THEN (f_{k} + m_{k} * (m_{k} * (1 - m_{k}) / b_{k} - 1)) / (n + m_{k} * (1 - m_{k}) / b_{k} - 1) ELSE m_{k} END"
+        for k in _FAILS
+    )
+
+
 ORACLES = {
     "op1_pii": f"""
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -93,4 +126,66 @@ ORACLES = {
         SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY lang) AS n
+            FROM (SELECT doc_id, coalesce('=' || lang, '') AS lang, {_leaf("n_chars")} AS leaf,
+                         CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claimed FROM documents)),
+        nodes AS (
+            SELECT lang, 0 AS height, place, leaf AS node, n FROM leaves
+            UNION ALL
+            SELECT lang, height + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (n + 1) // 2
+            FROM nodes WHERE n > 1 GROUP BY lang, height, place // 2, n),
+        groups AS (SELECT lang, node, row_number() OVER (ORDER BY lang) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        tops AS (
+            SELECT 0 AS height, place, node, n FROM groups
+            UNION ALL
+            SELECT height + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (n + 1) // 2
+            FROM tops WHERE n > 1 GROUP BY height, place // 2, n),
+        low AS (
+            SELECT doc_id, leaf, lang, place AS first_place, 0 AS height, place, n, claimed AS node, '' AS proof FROM leaves
+            UNION ALL
+            SELECT l.doc_id, l.leaf, l.lang, l.first_place, l.height + 1, l.place // 2, (l.n + 1) // 2,
+                   sha256(CASE WHEN l.place % 2 = 1 THEN coalesce(o.node, '') || l.node ELSE l.node || coalesce(o.node, '') END),
+                   l.proof || coalesce(o.node, '')
+            FROM low l LEFT JOIN nodes o ON o.lang = l.lang AND o.height = l.height AND o.place = xor(l.place, 1)
+            WHERE l.n > 1),
+        high AS (
+            SELECT l.doc_id, l.leaf, g.node AS subroot, l.lang, l.first_place, 0 AS height, g.place, g.n, l.node, l.proof
+            FROM low l JOIN groups g ON g.lang = l.lang WHERE l.n = 1
+            UNION ALL
+            SELECT l.doc_id, l.leaf, l.subroot, l.lang, l.first_place, l.height + 1, l.place // 2, (l.n + 1) // 2,
+                   sha256(CASE WHEN l.place % 2 = 1 THEN coalesce(o.node, '') || l.node ELSE l.node || coalesce(o.node, '') END),
+                   l.proof || coalesce(o.node, '')
+            FROM high l LEFT JOIN tops o ON o.height = l.height AND o.place = xor(l.place, 1)
+            WHERE l.n > 1)
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h.node AS folded_root, h.node = root AS verified
+        FROM high h, (SELECT node AS root FROM tops WHERE n = 1) WHERE n = 1""",
+    "op13_host_rules": f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_TEXT_WORDS} AS w, {_LINES} AS lines FROM documents),
+        windows AS (SELECT r, i, array_to_string(w[i : i + 7], ' ') AS phrase
+                    FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) > 8)),
+        often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, phrase) AS n FROM windows) WHERE n > 1),
+        repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM often) GROUP BY r),
+        counted AS (
+            SELECT doc_id, source, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+            FROM docs LEFT JOIN repeated USING (r)),
+        hosts AS (SELECT source, CAST(count(*) AS DOUBLE) AS n,
+                         {", ".join(f"CAST(count(*) FILTER ({rule}) AS DOUBLE) AS f_{k}" for k, rule in _FAILS.items())}
+                  FROM counted WHERE source IS NOT NULL GROUP BY source),
+        means AS (SELECT sum(n) AS total, count(*) AS hosts, {", ".join(f"sum(f_{k}) / sum(n) AS m_{k}" for k in _FAILS)} FROM hosts),
+        prior AS (SELECT means.*, {", ".join(
+            f"(SELECT sum(f_{k} * f_{k} / n) FROM hosts) / total - m_{k} * m_{k} - m_{k} * (1 - m_{k}) * hosts / total AS b_{k}"
+            for k in _FAILS)} FROM means),
+        rejected AS (SELECT source FROM hosts, prior WHERE greatest({_rates()}) > 0.5),
+        judged AS (SELECT *, {_FAILS["short"]} OR {_FAILS["repeats"]} AS base_failed,
+                          source IS NOT NULL AND source IN (SELECT source FROM rejected) AS host_rejected FROM counted)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+               CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+               NOT base_failed AND NOT host_rejected AS kept, host_rejected
+        FROM judged""",
 }

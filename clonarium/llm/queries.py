@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clonarium.llm import chat_format, decontaminate, embedding_dedup, line_crf, packing, pii, simhash_dedup, suffix_dedup, token_counts, token_files
+from clonarium.llm import (
+    chat_format,
+    decontaminate,
+    embedding_dedup,
+    host_rules,
+    line_crf,
+    merkle_manifest,
+    packing,
+    periodic_runs,
+    pii,
+    simhash_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+)
 from clonarium.llm.common import materialize, scratch_path, table
 from clonarium.llm.oracles import ORACLES  # noqa: F401  (read with QUERIES)
 
@@ -139,3 +154,63 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences."""
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, SEQUENCE_TOKENS, END_OF_TEXT)
+
+
+@register
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents, each one's proof, and what its row, changed or not, leads to."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    leaf, n_chars = merkle_manifest.digest_of(*fields), fields[3].cast("decimal(20,0)") + 1
+    changed = F.when(tampered, merkle_manifest.digest_of(*fields[:3], n_chars, fields[4]))
+    manifest = merkle_manifest.build_manifest(
+        docs, leaf, F.col("lang"), F.col("doc_id"), F.col("doc_id"), changed.alias("changed")
+    )
+    found = merkle_manifest.find_proofs(manifest, manifest.leaves)
+    claimed = F.coalesce("row.changed", "digest")
+    rows = found.select(
+        "row.doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(manifest.root).alias("root"),
+        merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle_manifest.folded(claimed, F.col("path")).alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Plants a periodic end in the words of some documents, chosen by their id."""
+    mark, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or mark % 10 or not n:
+        return words
+    begin, times = mark // 10 % n, 3 + mark // 10 % 8
+    period = 1 + (n - begin) // times
+    unit = words[begin : begin + period]
+    return words[:begin] + (unit * (times + 1))[: n - begin]
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents and digests of the texts without the repeats."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(listed, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@register
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by the base rules and by their hosts' failure rates."""
+    judged = host_rules.judge(table(spark, sf_dir, "documents"))
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
+    return judged.select("doc_id", *columns)

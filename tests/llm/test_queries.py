@@ -1,6 +1,8 @@
 """The registered queries and the pipeline on the smallest generated tables."""
 
+import hashlib
 import os
+import re
 import zlib
 
 import duckdb
@@ -14,6 +16,7 @@ from clonarium.llm import line_crf, queries
 from clonarium.llm.bpe import Encoder
 from clonarium.llm.common import materialize
 from tests.llm.test_dedup import label, plain_fingerprint, plain_removal
+from tests.llm.test_runs_and_rules import SPACE, plain_best, plain_collapse, plain_runs
 from tests.llm.test_texts import plain_hits, plain_spans
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -62,7 +65,7 @@ def test_queries_agree_with_sql(found, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_token_queries(found, docs):
@@ -123,13 +126,28 @@ def test_simhash_query(found, docs):
 
 
 def test_suffix_query(found, docs):
-    import hashlib
-
     wanted = [(n, s, g, hashlib.sha256(k).hexdigest()) for n, s, g, k in plain_removal([d["text"] for d in docs])]
     rows = by_id(found("op8_suffix_dedup"))
     assert [(r["n_bytes"], r["n_spans"], r["n_removed"], r["kept_sha256"]) for r in rows] == wanted
 
 
+def test_periodic_runs_query(found, docs):
+    for row, doc in zip(by_id(found("op12_periodic_runs")), docs, strict=True):
+        words = re.findall(SPACE, doc["text"] or "")
+        n, mark = len(words), zlib.crc32(str(doc["doc_id"]).encode())
+        if mark % 10 == 0 and n:
+            a, p = mark // 10 % n, 1 + (n - mark // 10 % n) // (3 + mark // 10 % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = plain_runs(words)
+        best = plain_best(runs)
+        assert (row["n_words"], row["n_runs"]) == (n, len(runs))
+        assert (row["start"], row["length"], row["period"]) == (best or (None,) * 3)
+        assert row["exponent_milli"] == (best and 1000 * best[1] // best[2])
+        listed = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+        assert row["runs_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert row["collapsed_sha256"] == hashlib.sha256(plain_collapse(words, runs).encode()).hexdigest()
+
+
 def test_pipeline_against_brute_force(spark, docs):
     model = queries.quality_model(spark, SF_DIR)
     library = Encoder(queries.VOCABULARY).library
