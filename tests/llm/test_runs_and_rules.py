@@ -142,5 +142,5 @@ def test_rules_without_hosts_or_documents(spark, no_docs, twice):
     assert host_rules.judge(no_docs).collect() == []
     nobody = host_rules.judge(twice.selectExpr("doc_id", "text", "cast(null as string) source")).collect()
     assert len(nobody) == 6 and not any(r.host_rejected for r in nobody)
-    one = host_rules.judge(twice).collect()  # a single host, of which most documents fail
-    assert len(one) == 6 and all(r.host_rejected and not r.kept for r in one)
+    one = host_rules.judge(twice).collect()  # half of a single host's documents fail either rule: not most
+    assert len(one) == 6 and not any(r.host_rejected or r.kept for r in one)
