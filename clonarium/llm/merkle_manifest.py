@@ -232,7 +232,8 @@ def find_proofs(manifest: Manifest, requests: DataFrame) -> DataFrame:
         F.lit("").alias("tree"), F.lit(top).alias("tier"), F.lit(manifest.root).alias("digest"),
         F.array().cast("array<string>").alias("path"), F.lit("").alias("subroot"),
     )
-    groups = _descend(asked, manifest.group_tiers, start, manifest.levels)
+    # Written: a join on values known to the planner would turn into a cross join.
+    groups = _descend(asked, manifest.group_tiers, materialize(start, "start"), manifest.levels)
     starts = materialize(groups.select("row.tree", "row.tier", "digest", "path", F.col("digest").alias("subroot")), "starts")
     found = _descend(requests.select("tree", "rank", "row"), manifest.tiers, starts, manifest.levels)
     return found.select("row", "digest", "subroot", F.reverse("path").alias("path"))
