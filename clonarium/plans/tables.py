@@ -59,6 +59,7 @@ from clonarium.sources.delimited import (
     read_parquet_columns,
     read_text_columns,
     typed,
+    typed_all,
 )
 from clonarium.sources.headed import key_from_file_name, read_entity_columns, read_ragged_matrices
 
@@ -72,9 +73,8 @@ def mutations(spark: SparkSession, path: str, partitions: int | None = None) ->
     The source's numeric ``tumour_id`` becomes ``tumour_ordinal`` and frees its name
     for the tumour id proper.
     """
-    text = read_text_columns(spark, path)
-    present = {k: v for k, v in c.MUTATION_SOURCE.items() if k in text.columns}
-    df = read_delimited(spark, path, present, keep_others=True, partitions=partitions)
+    text = read_text_columns(spark, path, partitions=partitions)
+    df = typed_all(text, {k: v for k, v in c.MUTATION_SOURCE.items() if k in text.columns}, MARKERS_PLAIN)
     return renamed(
         df.withColumns(
             {
@@ -129,8 +129,7 @@ def variant_scores(spark: SparkSession, path: str, key: Column | None = None) ->
 def clinical(spark: SparkSession, path: str) -> DataFrame:
     """One row per patient, all source columns under their own names."""
     text = read_text_columns(spark, path)
-    present = {k: v for k, v in c.CLINICAL_SOURCE.items() if k in text.columns}
-    return read_delimited(spark, path, present, keep_others=True)
+    return typed_all(text, {k: v for k, v in c.CLINICAL_SOURCE.items() if k in text.columns}, MARKERS_PLAIN)
 
 
 def clinical_per_tumour(patients: DataFrame) -> DataFrame:
@@ -197,7 +196,7 @@ def clone_flags(spark: SparkSession, path: str, crosswalk: DataFrame, convention
     text = read_text_columns(spark, path)
     require_columns(text, c.CLONE_FLAG_NAMES, "clone flags")
     types = dict.fromkeys(["tumour_id", *c.CLONE_FLAG_NAMES], "string")
-    df = renamed(read_delimited(spark, path, types, markers=MARKERS_NAN), c.CLONE_FLAG_NAMES)
+    df = renamed(typed(text, types, MARKERS_NAN), c.CLONE_FLAG_NAMES)
     flags = [n for n in c.CLONE_FLAG_NAMES.values() if n != "clone"]
     df = df.select(
         "tumour_id",
@@ -214,7 +213,7 @@ def seeding(spark: SparkSession, path: str, crosswalk: DataFrame, convention: st
     text = read_text_columns(spark, path, " ")
     require_columns(text, c.SEEDING_NAMES, "seeding")
     types = {**dict.fromkeys(["tumour_id", *c.SEEDING_NAMES], "string"), "nRegions": "bigint"}
-    df = renamed(read_delimited(spark, path, types, sep=" ", markers=MARKERS_NAN), c.SEEDING_NAMES)
+    df = renamed(typed(text, types, MARKERS_NAN), c.SEEDING_NAMES)
     df = materialize(with_convention(df, crosswalk, convention), "seeding")
     require_none(duplicate_keys(df, ["tumour_id"]), "seeding: duplicate tumour_id")
     lists = ["individual_seeding_clonality", "individual_seeding_phyletic"]

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clonarium.functions.labels import without_markers
 from clonarium.operators.quality import require_columns
 from clonarium.operators.reshape import quoted
+from clonarium.sources.records import TextFiles, cells, open_files
 
 # Null markers by kind of file.
 MARKERS_PLAIN = ["NA", ""]
@@ -17,29 +17,42 @@ MARKERS_NAN = ["NA", "", "nan"]
 MARKERS_SCORES = ["NA", "", "-", "nan"]
 
 
-# The parser sizes its buffer by this; wider files need it raised.
-_MAX_COLUMNS = 1_000_000
-
-
 def read_text_columns(
     spark: SparkSession,
     path: str | list[str],
     sep: str = "\t",
     names: Sequence[str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every column as text, with the header's names or, for a file without header, ``names``.
 
-    Null markers other than the empty cell are left in place: Spark's ``nullValue``
-    takes one marker only, and a marker has to be gone before the cast. Gzip is
-    unpacked by the file name. A line with more or fewer cells than the header fails
-    the job, which takes parsing all columns; a line of white space only counts as blank.
+    Null markers other than the empty cell, which is null, are left in place: a marker has to be
+    gone before the cast. Gzip is unpacked by the file name. Several files must share one header.
+    A record with more or fewer cells than the header fails the job. ``partitions``: see
+    ``read_delimited``; for records and quotes see ``records``.
     """
-    reader = spark.read.option("sep", sep).option("maxColumns", _MAX_COLUMNS)
-    reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
+    files = open_files(spark, path, sep, has_header=names is None)
     if names is None:
-        return reader.option("header", True).csv(path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.option("header", False).schema(schema).csv(path)
+        names = _shared_header(files, sep)
+    body = files.body.repartition(partitions) if partitions else files.body
+    split = body.select("path", cells(F.col("record"), sep).alias("cells"))
+    given = F.concat(F.size("cells").cast("string"), F.lit(f" cells instead of {len(names)} in "), F.col("path"))
+    checked = F.when(F.size("cells") == len(names), F.col("cells")).otherwise(F.raise_error(F.concat(F.lit("malformed record: "), given)))
+    # One array a row, checked once, then its cells.
+    return split.select(checked.alias("cells")).select(
+        *[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)]
+    )
+
+
+def _shared_header(files: TextFiles, sep: str) -> list[str]:
+    """The one header of all files; a column without a name is called by its place."""
+    found = files.headers.groupBy("header").agg(F.min("path").alias("path")).limit(2).select(cells(F.col("header"), sep).alias("names"), "path").collect()
+    if len(found) > 1 and found[0].names != found[1].names:
+        raise ValueError(f"{found[0].path} and {found[1].path} have different headers")
+    names = [name or f"_c{i}" for i, name in enumerate(found[0].names if found else [])]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{found[0].path} repeats a column")
+    return names
 
 
 def typed(df: DataFrame, types: dict[str, str], markers: list[str]) -> DataFrame:
@@ -77,30 +90,12 @@ def read_delimited(
     """A typed table from one file, or from several files with the same header.
 
     ``partitions`` is for gzip files, which Spark can only unpack in one task each: the
-    lines are spread over that many tasks first and taken apart there. It changes no row.
+    records are spread over that many tasks first and taken apart there. It changes no row.
     """
-    text = read_text_columns(spark, path, sep, names)
-    if partitions:
-        text = _spread_lines(text, path, sep, partitions, has_header=names is None)
+    text = read_text_columns(spark, path, sep, names, partitions)
     return (typed_all if keep_others else typed)(text, types, markers)
 
 
-def _spread_lines(
-    columns: DataFrame, path: str | list[str], sep: str, partitions: int, has_header: bool
-) -> DataFrame:
-    """The columns of ``read_text_columns``, parsed after the lines are spread over tasks.
-
-    The header is left out by its place, as the reader of one-column files without quotes
-    does it, so a line that equals the header stays.
-    """
-    reader = columns.sparkSession.read.schema("value string").option("header", has_header)
-    lines = reader.option("sep", "\x01").option("quote", "").option("maxCharsPerColumn", -1).csv(path)
-    schema = ", ".join(f"{quoted(c)} string" for c in columns.columns)
-    options = {"sep": sep, "maxColumns": str(_MAX_COLUMNS), "mode": "FAILFAST"}
-    parsed = F.from_csv("value", schema, options)
-    return lines.repartition(partitions).select(parsed.alias("r")).select("r.*")
-
-
 def read_parquet_columns(spark: SparkSession, path: str, needed: Sequence[str] = ()) -> DataFrame:
     """A Parquet table that must have the named columns."""
     df = spark.read.parquet(path)

@@ -245,3 +245,51 @@ def store_roundtrip(t):
     root = scratch_path(t.spark, "store")
     store.write_table(orders, root, "orders", ["o_custkey", "o_orderkey"])
     return store.read_table(t.spark, root, "orders")
+
+
+@query("""
+    SELECT l_returnflag AS flag, l_linenumber, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS sum_key,
+           CAST(sum(length('order ' || l_orderkey || chr(10) || chr(10) || '"line", ' || l_linenumber)) AS BIGINT) AS n_chars,
+           max('"line", ' || l_linenumber) AS last_line
+    FROM lineitem GROUP BY 1, 2
+""")
+def scan_quoted_breaks(t):
+    """Cells of three lines each, with quotes and separators in them."""
+    note = "concat('order ', l_orderkey, '\\n\\n\"line\", ', l_linenumber) AS note"
+    path = _written(t, t.lineitem.selectExpr("l_orderkey", note, "l_returnflag AS flag"), header=True, escape='"', quoteAll=True)
+    rows = delimited.read_delimited(t.spark, path, {"l_orderkey": "bigint", "note": "string", "flag": "string"}, sep=",", markers=[])
+    last = F.element_at(F.split("note", "\n"), -1)
+    number = F.regexp_extract(last, r"(\d+)$", 1).cast("int").alias("l_linenumber")
+    return rows.groupBy("flag", number).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("sum_key"), F.sum(F.length("note")).alias("n_chars"), F.max(last).alias("last_line")
+    )
+
+
+def _renamed_files(t, folder, suffix):
+    """Give the data files of a scratch folder another suffix."""
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(folder)
+    fs = place.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(place):
+        if status.getPath().getName().startswith("part-"):
+            fs.rename(status.getPath(), status.getPath().suffix(suffix))
+
+
+@query("""
+    SELECT l_returnflag AS tumour_id, CASE WHEN l_returnflag = 'R' THEN 'gzip' ELSE '' END AS reason,
+           CASE WHEN l_returnflag = 'R' THEN 0 ELSE count(*) END AS n_values
+    FROM lineitem GROUP BY l_returnflag
+""")
+def scan_broken_files(t):
+    """The files of one of three entities are called packed but are not: these are left out, with a reason."""
+    root = scratch_path(t.spark, "broken")
+    for entity in _ENTITIES:
+        rows = t.lineitem.where(F.col("l_returnflag") == entity).selectExpr("l_linenumber AS clone", f"l_quantity AS {entity}")
+        rows.write.options(header=True, compression="none" if entity == "R" else "gzip").csv(f"{root}/{entity}")
+    _renamed_files(t, f"{root}/R", ".gz")
+    good, rejects = headed.read_ragged_matrices(
+        t.spark, f"{root}/*", "clone", key="tumour_id", value="proportion", markers=delimited.MARKERS_PLAIN
+    )
+    found = good.groupBy("tumour_id").agg(F.lit("").alias("reason"), F.count("proportion").alias("n_values"))
+    left_out = rejects.select(headed.key_from_directory().alias("tumour_id"), F.split("reason", ":")[0].alias("reason")).distinct()
+    return found.unionByName(left_out.withColumn("n_values", F.lit(0).cast("bigint")))
