@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
 from clonarium.operators.skew import fits_broadcast, heavy_hashes, lookup_join
+from clonarium.operators.sweep import sweep_join
 from clonarium.session import broadcast_limit, estimated_bytes, job_settings
 from clonarium.sources.chain import read_chain
 
@@ -123,9 +124,7 @@ def _random_intervals(spark, rng, n, prefix, widest):
 
 @pytest.mark.parametrize("left_open", [False, True])
 @pytest.mark.parametrize("right_open", [False, True])
-@pytest.mark.parametrize("limit, per_key", [(None, 0), (0, 0), (0, 10**6)])
-def test_overlap_against_nested_loop(spark, rows, monkeypatch, left_open, right_open, limit, per_key):
-    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
+def test_overlap_against_nested_loop(spark, rows, left_open, right_open):
     rng = random.Random(7)
     left, right = _random_intervals(spark, rng, 250, "l", 9), _random_intervals(spark, rng, 200, "r", 13)
     starts = F.col("ls") < F.col("re") if right_open else F.col("ls") <= F.col("re")
@@ -133,16 +132,14 @@ def test_overlap_against_nested_loop(spark, rows, monkeypatch, left_open, right_
     brute = left.join(right.withColumnRenamed("chr", "c2"), (F.col("chr") == F.col("c2")) & starts & ends)
     got = intervals.interval_join(
         left, right, ["chr"], ("ls", "le"), ("rs", "re"),
-        left_end_open=left_open, right_end_open=right_open, limit=limit,
+        left_end_open=left_open, right_end_open=right_open,
     )
     assert rows(got, "lid", "rid") == rows(brute, "lid", "rid")
     assert set(got.columns) == {"chr", "lid", "ls", "le", "rid", "rs", "re"}
 
 
 @pytest.mark.parametrize("end_open", [False, True])
-@pytest.mark.parametrize("limit, per_key", [(None, 0), (0, 0), (0, 10**6)])
-def test_points_against_nested_loop(spark, rows, monkeypatch, end_open, limit, per_key):
-    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
+def test_points_against_nested_loop(spark, rows, end_open):
     rng = random.Random(8)
     points = spark.createDataFrame(
         [(rng.choice("ab"), i, 4711 if i % 3 == 0 else rng.randint(-500, 20_000)) for i in range(300)]
@@ -154,18 +151,51 @@ def test_points_against_nested_loop(spark, rows, monkeypatch, end_open, limit, p
         F.col("pos") < F.col("re") if end_open else F.col("pos") <= F.col("re")
     )
     brute = points.join(right.withColumnRenamed("chr", "c2"), (F.col("chr") == F.col("c2")) & inside)
-    got = intervals.point_join(points, right, ["chr"], "pos", ("rs", "re"), end_open=end_open, limit=limit)
+    got = intervals.point_join(points, right, ["chr"], "pos", ("rs", "re"), end_open=end_open)
     assert rows(got, "pid", "rid") == rows(brute, "pid", "rid")
 
 
-def test_grids_follow_the_counts():
-    assert intervals._grid_per_class({}, 5) == {}
-    assert intervals._grid_per_class({3: 10}, 0) == {3: 3}
-    # few long intervals share the fine grid, many get their own
-    assert intervals._grid_per_class({2: 1000, 3: 10, 5: 1}, 10_000) == {2: 2, 3: 2, 5: 2}
-    assert intervals._grid_per_class({2: 1000, 3: 9000, 4: 10}, 10_000) == {2: 2, 3: 3, 4: 3}
-    # never over an unbounded number of bins
-    assert intervals._grid_per_class({0: 1, 9: 1}, 10**15) == {0: 0, 9: 9}
+@pytest.mark.parametrize("n_ranges", [1, 7, 60])
+def test_nested_long_and_crowded_intervals(spark, rows, n_ranges):
+    """Intervals in intervals, one over everything, and a third of all rows at one place."""
+    rng = random.Random(10)
+
+    def some(n, seed_key):
+        data = [(rng.choice("abc"), i, s := rng.randrange(1000), s + rng.choice([0, 3, 40, 900])) for i, _ in enumerate(range(n))]
+        data += [("a", n + i, 500, 500 + i % 4) for i in range(n // 2)] + [("a", 2 * n, -5, 10**9), ("b", 2 * n + 1, 0, 10**12)]
+        data += [("a", 3 * n + i, 200 + i, 800 - i) for i in range(40)] + [(None, 4 * n, 1, 2), ("c", 4 * n + 1, None, 2)]
+        return spark.createDataFrame(data, f"chr string, {seed_key}id int, {seed_key}s long, {seed_key}e long")
+
+    left, right = some(150, "l"), some(60, "r")
+    brute = left.join(right.withColumnRenamed("chr", "c2"), F.expr("chr = c2 AND ls <= re AND rs <= le"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n_ranges))
+        got = intervals.interval_join(left, right, ["chr"], ("ls", "le"), ("rs", "re"))
+        found = rows(got, "lid", "rid")
+        points = intervals.point_join(left.withColumn("p", F.col("ls")), right, ["chr"], "p", ("rs", "re"))
+        inside = rows(points, "lid", "rid")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == rows(brute, "lid", "rid")
+    assert inside == rows(brute.where("ls BETWEEN rs AND re"), "lid", "rid")
+
+
+def test_crowded_starts_are_shared_out(spark):
+    """Rows that all start at one place are found by several tasks."""
+    left = spark.range(4000).selectExpr("id AS lid", "5L AS ls", "9L AS le")
+    right = spark.createDataFrame([(1, 9), (5, 5), (9, 30), (10, 11)], "rs long, re long")
+    pairs = sweep_join(left, right, [], ("ls", "le"), ("rs", "re"))
+    counts = pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in counts) == 12_000
+    assert max(r["count"] for r in counts) < 9000
+
+
+def test_far_positions_fail(spark):
+    points = spark.createDataFrame([(1 << 41,)], "pos long")
+    some = spark.createDataFrame([(1, 9)], "s long, e long")
+    with pytest.raises(Exception, match="beyond"):
+        intervals.point_join(points, some, [], "pos", ("s", "e")).collect()
 
 
 @pytest.mark.parametrize("n_points", [20, 3000])
@@ -180,9 +210,7 @@ def test_points_in_few_long_intervals(spark, rows, n_points):
     assert rows(got, "pid", "rid") == rows(brute, "pid", "rid")
 
 
-@pytest.mark.parametrize("per_key", [0, 64])
-def test_touching_ends(spark, rows, monkeypatch, per_key):
-    monkeypatch.setattr(intervals, "MAX_PER_KEY", per_key)
+def test_touching_ends(spark, rows):
     segments = spark.createDataFrame([("1", 10, 20)], "chr string, segment_start long, segment_end long")
     genes = spark.createDataFrame(
         [("1", "before", 1, 10), ("1", "first", 1, 11), ("1", "last", 20, 25), ("1", "after", 21, 25)],
