@@ -11,7 +11,8 @@ from clonarium.plans import tables
 from clonarium.plans.build import Sources, build_store, check_store
 from clonarium.plans.contracts import CONTRACTS, type_mismatches
 from clonarium.sources import delimited, headed
-from clonarium.sources.store import read_table, source_provenance, write_table
+from clonarium.sources import store as stores
+from clonarium.sources.store import current_root, read_table, source_provenance, write_table
 from testdata_queries import files, jobs
 from testdata_queries.registry import Tables
 
@@ -188,7 +189,7 @@ def test_proportions_and_rejects(spark, store, rows):
         ("LTX0001-Tumour1", "clone2", "LTX0001_SU_T1-R2--bb", 0.75),
         ("LTX0008-Tumour2", "clone1", "LTX0008_SU_T2-R1--cc", None),
     ]
-    rejects = spark.read.parquet(f"{store[0]}/_rejects/clone_proportions.parquet")
+    rejects = spark.read.parquet(f"{current_root(spark, store[0])}/_rejects/clone_proportions.parquet")
     assert {(r.path.split("/")[-2], r.reason) for r in rejects.collect()} == {
         ("LTX0009-Tumour1", "no column clone"),
         ("LTX0010-Tumour1", "cell is not a number"),
@@ -209,7 +210,7 @@ def test_flags_seeding_and_regions(spark, store, rows):
     assert rows(read_table(spark, store[0], "region_ccf"), "tumour_id", "clone", "ccf") == [
         ("LTX0001-Tumour1", "clone1", 100), ("LTX0001-Tumour1", "clone2", 30),
     ]
-    rejects = spark.read.parquet(f"{store[0]}/_rejects/bundles.parquet")
+    rejects = spark.read.parquet(f"{current_root(spark, store[0])}/_rejects/bundles.parquet")
     assert rows(rejects) == [(None, "no sample id"), ("LTX0008_1", "matrix missing")]
 
 
@@ -259,7 +260,7 @@ def test_store_check(spark, store):
 
 
 def test_provenance(spark, store, sources):
-    saved = spark.read.parquet(f"{store[0]}/_provenance.parquet")
+    saved = spark.read.parquet(f"{current_root(spark, store[0])}/_provenance.parquet")
     assert saved.where("length(digest) = 64").count() == saved.count() > 15
     assert saved.where("n_columns = 16 and path like '%mutations.tsv.gz'").count() == 1
     one = source_provenance(spark, sources.drivers).first()
@@ -271,6 +272,60 @@ def test_provenance(spark, store, sources):
         source_provenance(spark, sources.drivers, "md5")
 
 
+def test_tree_digest_knows_the_order_of_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "RANGE_LINES", 100)
+    lines = [f"line {i % 700} " + "x" * (i % 90) for i in range(2000)] + [""]
+    (tmp_path / "a.txt").write_text("\n".join(lines))
+    lines[1234], lines[1235] = lines[1235], lines[1234]
+    (tmp_path / "b.txt").write_text("\n".join(lines))
+    (tmp_path / "c.txt.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+
+    def plain(rows):
+        hashes = [hashlib.sha256(line.encode()).hexdigest().upper() for line in rows[:-1]]
+        ranges = [hashlib.sha256("".join(hashes[i : i + 100]).encode()).hexdigest().upper() for i in range(0, len(hashes), 100)]
+        return hashlib.sha256("".join(ranges).encode()).hexdigest()
+
+    names = {n: str(spark.conf.get(n)) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    found = []
+    try:
+        for size in ("4096", "1000000"):
+            for name in names:
+                spark.conf.set(name, size)
+            saved = source_provenance(spark, str(tmp_path / "*"), "tree").collect()
+            found.append({r.path.rsplit("/", 1)[1]: r.digest for r in saved})
+            sums = {r.path.rsplit("/", 1)[1]: r.digest for r in source_provenance(spark, str(tmp_path / "*"), "lines").collect()}
+    finally:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+    assert found[0] == found[1]
+    assert found[0]["b.txt"] == found[0]["c.txt.gz"] == plain(lines)
+    lines[1234], lines[1235] = lines[1235], lines[1234]
+    assert found[0]["a.txt"] == plain(lines) != found[0]["b.txt"]
+    assert sums["a.txt"] == sums["b.txt"]
+
+
+def test_a_failed_build_leaves_the_store_as_it_was(spark, sources, tmp_path, monkeypatch):
+    path, some = str(tmp_path / "store"), Sources(drivers=sources.drivers, crosswalk=sources.crosswalk)
+    build_store(spark, some, path)
+    before, root = read_table(spark, path, "drivers").count(), current_root(spark, path)
+    reading = read_table(spark, path, "id_crosswalk")
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "drivers", lambda *args: (_ for _ in ()).throw(RuntimeError("half way")))
+        with pytest.raises(RuntimeError, match="half way"):
+            build_store(spark, some, path)
+    assert current_root(spark, path) == root and read_table(spark, path, "drivers").count() == before
+    assert len(list((tmp_path / "store" / "_versions").iterdir())) == 1
+    # Readers of the version before the one in use still find it; older ones go.
+    build_store(spark, Sources(drivers=sources.drivers), path)
+    assert current_root(spark, path) != root and reading.count() == 2
+    build_store(spark, Sources(drivers=sources.drivers), path)
+    assert len(list((tmp_path / "store" / "_versions").iterdir())) == stores.KEPT_VERSIONS
+    assert len([f for f in (tmp_path / "store" / "_published").iterdir() if not f.name.startswith(".")]) == stores.KEPT_VERSIONS
+    # A table written straight into a folder is read from there.
+    write_table(spark.range(3).toDF("k"), str(tmp_path / "plain"), "t", ["k"])
+    assert read_table(spark, str(tmp_path / "plain"), "t").count() == 3
+
+
 def test_write_table_sorts_by_key(spark, tmp_path):
     df = spark.range(1000).selectExpr("(id * 37) % 1000 AS k", "id AS v")
     path = write_table(df, str(tmp_path), "t", ["k"], files=3)
