@@ -3,11 +3,14 @@
 Vectors are scaled to unit length, so cosine 0.95 is a Euclidean distance of 0.316. Each table
 hashes a vector by several random Gaussian projections, shifted, divided by the bucket width
 and rounded down; only vectors that share a bucket in some table are compared, by the exact
-cosine in double precision. The number of projections grows with the logarithm of the number
-of vectors, so that a bucket holds few strangers at any size, and the number of tables follows
-from it so that a pair right at the threshold is found with probability ``RECALL``; closer
-pairs are found more often. The hash functions thus change with the number of distinct vectors:
-a pair right at the threshold may be found in one table and missed in a larger or smaller one.
+cosine in double precision. The numbers of tables and of projections are parameters, the same at
+every size: ``table_count`` gives the tables that find a pair right at the threshold with
+probability ``RECALL``, and closer pairs are found more often. More projections, with the tables that
+go with them, keep strangers out of the buckets of larger tables: of n vectors far from it a vector
+meets n * collision(sqrt(2)) ** projections in each table. With ``PROJECTIONS`` these are one in 100,000.
+
+Near copies share most of their buckets, often with the same company. Buckets of the same members are
+told by their number and 128 bits, and only the first of them, in order of table, is compared.
 
 Exact copies share one entry with a weight. A bucket of more than ``BLOCK_ROWS`` vectors is
 split into blocks, and every two blocks meet in a task of their own: all its pairs are
@@ -29,11 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clonarium.llm.common import block_count, materialize
 from clonarium.llm.components import components
 
-COSINE, WIDTH, RECALL, STRANGERS = 0.95, 2.0, 0.99, 4.0
+COSINE, WIDTH, RECALL, PROJECTIONS = 0.95, 2.0, 0.99, 16
 BLOCK_ROWS = 2048
 ENTRY_SCHEMA = "key long, vec_id long, digest binary, vector binary"
 
@@ -45,11 +49,10 @@ def collision(distance: float, width: float = WIDTH) -> float:
     return 1 - 2 * below - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
 
 
-def table_sizes(n: int, cosine: float = COSINE) -> tuple[int, int]:
-    """(tables, projections per table) for ``n`` vectors."""
-    near, far = collision(math.sqrt(2 - 2 * cosine)), collision(math.sqrt(2))
-    projections = max(8, math.ceil(math.log(max(n, 1) / STRANGERS) / -math.log(far))) if n else 8
-    return math.ceil(math.log(1 - RECALL) / math.log1p(-(near**projections))), projections
+def table_count(projections: int = PROJECTIONS, cosine: float = COSINE) -> int:
+    """The tables that a pair right at the threshold needs to share a bucket with probability RECALL."""
+    near = collision(math.sqrt(2 - 2 * cosine))
+    return math.ceil(math.log(1 - RECALL) / math.log1p(-(near**projections)))
 
 
 class Tables:
@@ -71,14 +74,20 @@ class Tables:
         return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-def _unit(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
+def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow or underflow in the squares
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def component_kind(vectors: DataFrame, vector_col: str) -> str:
+    """How components are carried: as they are if they are floats, else as doubles."""
+    return "<f4" if vectors.schema[vector_col].dataType == T.ArrayType(T.FloatType()) else "<f8"
+
+
 def _entries(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(key, vec_id, digest, vector) with distinct keys; no vector where nothing can link."""
+    kind = component_kind(vectors, vector_col)
     wide = F.col(vector_col).cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.coalesce(~bad & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -87,7 +96,7 @@ def _entries(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     def encode(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = [None if v is None else np.array(v, "<f8") + 0.0 for v in batch.column("v").to_pylist()]
+            listed = [None if v is None else np.array(v, kind) + np.zeros(1, kind) for v in batch.column("v").to_pylist()]
             raw = [None if v is None else v.tobytes() for v in listed]
             digests = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
             yield pa.RecordBatch.from_arrays(
@@ -100,13 +109,16 @@ def _entries(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return materialize(keyed.mapInArrow(encode, ENTRY_SCHEMA), "vectors")
 
 
-def vector_links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
+def vector_links(
+    distinct: DataFrame, kind: str, cosine: float = COSINE, projections: int = PROJECTIONS, tables: int | None = None
+) -> DataFrame:
     """(key, n, root) per vector and bucket with links: linked weights, least key reached.
 
-    ``distinct`` has one row per distinct vector: key, weight, vector.
+    ``distinct`` has one row per distinct vector: key, weight, vector, with components of a ``kind``.
     """
     spark = distinct.sparkSession
-    tables, projections = table_sizes(distinct.count(), cosine)
+    tables = table_count(projections, cosine) if tables is None else tables
+    width = int(kind[-1])
 
     def deal(batches) -> Iterator[pa.RecordBatch]:
         made: dict[int, Tables] = {}
@@ -116,8 +128,8 @@ def vector_links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
                 part = batch.filter(pa.array(sizes == size))
                 raw = part.column("vector").to_pylist()
                 if size not in made:
-                    made[size] = Tables(tables, projections, size // 8)
-                keys = made[size].buckets(_unit(raw))
+                    made[size] = Tables(tables, projections, size // width)
+                keys = made[size].buckets(_unit(raw, kind))
                 repeat = pa.array(np.repeat(np.arange(len(raw)), tables))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(raw))),
@@ -126,9 +138,11 @@ def vector_links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
                 )
 
     dealt = distinct.mapInArrow(deal, "bucket long, place int, key long")
-    # Only buckets with company matter, and only large ones are split.
-    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    shared = dealt.join(sizes, "bucket").select("bucket", "place", "key", "m")
+    # Only buckets with company matter, the first of those with the same, and only large ones are split.
+    marks = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("m"), F.min("place").alias("place"), *marks).where("m > 1")
+    firsts = sizes.groupBy("m", "mark0", "mark1").agg(F.min(F.struct("place", "bucket")).alias("first"))
+    shared = dealt.join(firsts.select(F.col("first.bucket").alias("bucket"), "m"), "bucket").select("bucket", "place", "key", "m")
     all_keys = shared.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "bucket", "m"))).alias("shared"))
     rows = distinct.join(all_keys, "key").select("key", "weight", "vector", "shared")
     n = F.ceil(F.col("s.m") / BLOCK_ROWS).cast("int")
@@ -146,7 +160,7 @@ def vector_links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            found = _compare_group(group, cosine)
+            found = _compare_group(group, kind, cosine)
             if found:
                 yield found
 
@@ -175,13 +189,13 @@ def _groups(batches) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _compare_group(group: pa.Table, cosine: float) -> pa.RecordBatch | None:
+def _compare_group(group: pa.Table, kind: str, cosine: float) -> pa.RecordBatch | None:
     """Compare all pairs of a block pair; across blocks only, where there are two."""
     key, weight, block = (group.column(c).to_numpy() for c in ("key", "weight", "block"))
     low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
     raw = group.column("vector").to_pylist()
     order = np.argsort(key, kind="stable")
-    unit = _unit(raw)
+    unit = _unit(raw, kind)
     before = group.column("before").to_pylist()
     n, root = np.zeros(len(key), np.int64), np.full(len(key), -1)
     linked = np.zeros((len(key), len(key)), bool)
@@ -193,15 +207,16 @@ def _compare_group(group: pa.Table, cosine: float) -> pa.RecordBatch | None:
     if not linked.any():
         return None
     if any(before):
-        met = [set(b) for b in before]
-        again = np.zeros_like(linked)
-        codes = {b: i for i, b in enumerate(sorted(set().union(*met)))}
-        marks = np.zeros((len(key), len(codes)), np.float32)
-        for i, b in enumerate(met):
-            marks[i, [codes[x] for x in b]] = 1
-        shared = marks[:, marks.sum(axis=0) > 1]
-        again = (shared @ shared.T) > 0
-        n = (linked & ~again) @ weight
+        # Pairs that met in an earlier bucket count there; only linked rows matter here.
+        rows = np.flatnonzero(linked.any(axis=1))
+        members: dict[int, list[int]] = {}
+        for i in rows.tolist():
+            for bucket in before[i]:
+                members.setdefault(bucket, []).append(i)
+        fresh = linked.copy()
+        for group_rows in {tuple(m) for m in members.values() if len(m) > 1}:
+            fresh[np.ix_(group_rows, group_rows)] = False
+        n = fresh @ weight
     else:
         n = linked @ weight
     unseen = linked.any(axis=1)
@@ -221,7 +236,12 @@ def _compare_group(group: pa.Table, cosine: float) -> pa.RecordBatch | None:
 
 
 def near_duplicates(
-    vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame,
+    cosine: float = COSINE,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    projections: int = PROJECTIONS,
+    tables: int | None = None,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` (the least id reachable) and ``kept``."""
     entries = _entries(vectors, id_col, vector_col)
@@ -231,7 +251,9 @@ def near_duplicates(
         ),
         "distinct-vectors",
     )
-    links = materialize(vector_links(distinct.select("key", "weight", "vector"), cosine), "vector-links")
+    kind = component_kind(vectors, vector_col)
+    found = vector_links(distinct.select("key", "weight", "vector"), kind, cosine, projections, tables)
+    links = materialize(found, "vector-links")
     counts = links.groupBy("key").agg(F.sum("n").alias("n"))
     groups = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     members = (

@@ -85,13 +85,25 @@ def test_no_vectors(spark):
         assert [tuple(r) for r in embedding_dedup.near_duplicates(frame).collect()] == [(i, 0, i, True) for i, _ in rows]
 
 
-def test_recall_follows_from_the_table_sizes():
-    for n in (10, 1000, 10**6, 10**9):
-        tables, projections = embedding_dedup.table_sizes(n)
+def test_recall_follows_from_the_tables():
+    for projections in (8, embedding_dedup.PROJECTIONS, 30):
+        tables = embedding_dedup.table_count(projections)
         found = 1 - (1 - embedding_dedup.collision(0.1**0.5) ** projections) ** tables
         assert found >= embedding_dedup.RECALL
 
 
+def test_links_do_not_depend_on_the_other_vectors(spark):
+    """The hash functions are the same in a small and in a larger table, so are the links found."""
+    x = vectors(seed=3, n=60)
+    few = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    far = np.random.default_rng(9).standard_normal((400, x.shape[1]))
+    more = few.union(spark.createDataFrame([(1000 + i, v.tolist()) for i, v in enumerate(far)], few.schema))
+    options = {"projections": 20, "tables": 6}  # few enough to miss some
+    found = [{r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(d, **options).collect()} for d in (few, more)]
+    assert found[0] == {i: found[1][i] for i in range(len(x))}
+    assert sum(n for n, _ in found[0].values()) < brute_force(x)[0].sum()
+
+
 # ---- simhash
 
 
