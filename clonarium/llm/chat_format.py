@@ -2,10 +2,10 @@
 
 A conversation is a log of events with a sequence number: ``message`` opens a turn, ``delta``
 adds streamed text to it, ``edit`` replaces its text, ``regenerate`` drops its text so that
-following deltas write it anew, and ``delete`` removes it. Events are dealt by turn and sorted by
-sequence, and each turn is folded while it streams past, so neither a conversation nor a group
-of them is ever held whole. The folded turns are rendered one by one; a conversation's text is
-its turns' texts in order.
+following deltas write it anew, and ``delete`` removes it. Logs are dealt by conversation, those of
+more than STRETCH turns in stretches of so many, and sorted by turn and sequence; each turn is folded
+while it streams past, so neither a conversation nor a group of them is ever held whole. The
+folded turns are rendered one by one; a conversation's text is its turns' texts in order.
 
 Template: ``[INST]`` text ``[/INST]`` for the user, ``<s>`` text ``</s>`` for the assistant,
 ``<<SYS>>`` text ``<</SYS>>`` for the system, ``[ROLE name]`` text ``[/ROLE]`` for others.
@@ -25,7 +25,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clonarium.llm.common import spread
@@ -39,7 +39,7 @@ _OPEN = re.compile(r"\[INST\]|<s>|<<SYS>>|\[ROLE ((?:[^\]\\]|\\.)*)\]", re.DOTAL
 _CLOSE = {"[INST]": "[/INST]", "<s>": "</s>", "<<SYS>>": "<</SYS>>"}
 
 TURN_SCHEMA = "conv_id long, turn long, place long, formatted string, loss_start long, loss_end long"
-DELTA_CHARS = 512
+DELTA_CHARS, STRETCH = 512, 128
 
 
 def escape(text: str) -> str:
@@ -104,10 +104,19 @@ def fold(events: Iterable[tuple[str, str, str]]) -> tuple[str, str] | None:
     return (role, "".join(parts)) if alive else None
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` by conversation and ``stretch`` of turns."""
+    rows = rows.withColumn("stretch", F.expr(f"turn div {STRETCH}"))
+    return spread(rows, "conv_id", "stretch")
+
+
 def message_events(conversations: DataFrame) -> DataFrame:
-    """The log of finished turns: each opens empty and is streamed in pieces of DELTA_CHARS.
+    """A log that ends in the given turns, dealt as ``format_turns`` wants it.
 
-    (conv_id, turn, place, seq, kind, role, text); ``place`` tells turns of one number apart.
+    (conv_id, turn, place, seq, kind, role, text); ``place`` tells turns of one number apart. Turns
+    are streamed in pieces of DELTA_CHARS. By a hash of its place each is written at once, or after
+    a draft: regenerated, edited, or deleted and sent again; after some a further turn was deleted
+    for good.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -115,27 +124,41 @@ def message_events(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")).cast("long")
+    # One shuffle serves the window, the explosion and the fold.
+    one_number = Window.partitionBy("conv_id", "stretch", "turn").orderBy("role", "text")
+    placed = _dealt(rows).withColumn("place", F.row_number().over(one_number).cast("long"))
+
+    def event(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+
+    nothing, draft = F.lit(""), F.reverse(F.substring("text", 1, 64))
     pieces = F.ceil(F.length("text") / DELTA_CHARS).cast("int")
     begin = F.when(pieces > 0, F.sequence(F.lit(0), pieces - 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    opened = F.struct(F.lit(0).alias("seq"), F.lit("message").alias("kind"), F.lit("").alias("text"))
-    deltas = F.transform(
-        begin,
-        lambda i: F.struct(
-            (i + 1).alias("seq"), F.lit("delta").alias("kind"),
-            F.substr("text", i * DELTA_CHARS + 1, F.lit(DELTA_CHARS)).alias("text"),
-        ),
-    )
-    placed = rows.withColumn("place", place)
-    events = placed.select("conv_id", "turn", "place", "role", F.explode(F.concat(F.array(opened), deltas)).alias("e"))
-    return events.select("conv_id", "turn", "place", "e.seq", "e.kind", "role", "e.text")
+    deltas = F.transform(begin, lambda i: event("delta", F.substr("text", i * DELTA_CHARS + 1, F.lit(DELTA_CHARS))))
+    begun = [event("message", draft), event("delta", draft)]
+    histories = [
+        F.concat(F.array(event("message", nothing)), deltas),
+        F.concat(F.array(*begun, event("regenerate", nothing)), deltas),
+        F.array(*begun, event("edit", F.col("text"))),
+        F.concat(F.array(*begun, event("delete", nothing), event("message", nothing)), deltas),
+    ]
+    mark = F.pmod(F.xxhash64("conv_id", "turn", "place"), F.lit(8))
+    history = F.when(mark % 4 == 0, histories[0]).when(mark % 4 == 1, histories[1]).when(mark % 4 == 2, histories[2]).otherwise(histories[3])
+    gone = F.struct((-F.col("place")).alias("place"), F.array(*begun, event("delete", nothing)).alias("events"))
+    own = F.struct("place", history.alias("events"))
+    logs = placed.select("conv_id", "turn", "role", F.explode(F.when(mark == 5, F.array(own, gone)).otherwise(F.array(own))).alias("log"))
+    events = logs.select("conv_id", "turn", "log.place", "role", F.posexplode("log.events").alias("seq", "e"))
+    return events.select("conv_id", "turn", "place", "seq", "e.kind", "role", "e.text")
 
 
 _TURN = ("conv_id", "turn", "place")
 
 
-def format_turns(events: DataFrame) -> DataFrame:
-    """Every turn that is left, folded and rendered, with the span of its text under the loss."""
+def format_turns(events: DataFrame, dealt: bool = False) -> DataFrame:
+    """Every turn that is left, folded and rendered, with the span of its text under the loss.
+
+    A turn's events must lie in one partition: if they do already, the log is ``dealt``.
+    """
 
     def stream(batches) -> Iterator[tuple]:
         for batch in batches:
@@ -160,7 +183,8 @@ def format_turns(events: DataFrame) -> DataFrame:
         if held:
             yield _batch(held, TURN_SCHEMA)
 
-    return spread(events, *_TURN).sortWithinPartitions(*_TURN, "seq").mapInArrow(rendered, TURN_SCHEMA)
+    placed = events if dealt else _dealt(events)
+    return placed.sortWithinPartitions(*_TURN, "seq").mapInArrow(rendered, TURN_SCHEMA)
 
 
 _KINDS = {"long": pa.int64(), "string": pa.string()}

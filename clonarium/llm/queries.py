@@ -83,7 +83,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(tricky).alias("text"),
     )
     events = chat_format.message_events(given.unionByName(extra))
-    return chat_format.read_back(chat_format.format_turns(events))
+    return chat_format.read_back(chat_format.format_turns(events, dealt=True))
 
 
 def _held_out() -> Column:

@@ -198,6 +198,23 @@ def test_conversations_read_back(spark):
         assert (row.loss_chars, row.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+def test_logs_hold_all_kinds_and_end_in_the_given_turns(spark):
+    rows = [(c, t, "user" if t % 2 else "assistant", f"text {t} " * (1 + t % 200)) for c, n in ((1, 300), (2, 3), (3, 40)) for t in range(n)]
+    log = chat_format.message_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate", "delete"} and min(kinds.values()) > 40
+    # Turns deleted for good, besides those given.
+    assert log.where("place < 0").select("conv_id", "turn").distinct().count() > 10
+    found = chat_format.format_turns(log, dealt=True).collect()
+    assert sorted((r.conv_id, r.turn, *chat_format.parse(r.formatted)) for r in found) == sorted((c, t, (r, x)) for c, t, r, x in rows)
+    shuffled = log.repartition(7)
+    again = chat_format.format_turns(shuffled.select("conv_id", "turn", "place", "seq", "kind", "role", "text")).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+    # One shuffle up to the folded turns.
+    plan = chat_format.format_turns(log, dealt=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_no_conversations(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.read_back(chat_format.format_turns(chat_format.message_events(empty))).collect() == []
