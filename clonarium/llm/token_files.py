@@ -27,7 +27,7 @@ from clonarium.llm.bpe import encoder
 from clonarium.llm.common import block_count, documents
 
 CHUNK_IDS, BLOCK_IDS = 1 << 18, 1 << 16
-STORE_SCHEMA = """shard int, first long, n_ids long, doc_ids binary, doc_sizes binary,
+STORE_SCHEMA = """shard int, first long, n_ids long, doc_ids binary, null_ids binary, doc_sizes binary,
                   plane_ends array<long>, planes binary"""
 
 
@@ -74,14 +74,16 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, path: str) -> No
             ids = np.concatenate(held_ids)
             ends, planes = to_planes(ids)
             squeeze = zstandard.ZstdCompressor().compress
-            # Nulls cannot lie in a plane of numbers; the least long stands for them.
-            names = np.array([d if d is not None else -(1 << 63) for d in held_docs], "<i8")
+            # Nulls cannot lie in a plane of numbers; a bit for each document tells them.
+            absent = np.array([d is None for d in held_docs])
+            names = np.array([d or 0 for d in held_docs], "<i8")
             return pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array([shard], pa.int32()),
                     "first": pa.array([before], pa.int64()),
                     "n_ids": pa.array([len(ids)], pa.int64()),
                     "doc_ids": pa.array([squeeze(names.tobytes())], pa.binary()),
+                    "null_ids": pa.array([squeeze(np.packbits(absent).tobytes())], pa.binary()),
                     "doc_sizes": pa.array([squeeze(np.concatenate(held_sizes).astype("<i8").tobytes())], pa.binary()),
                     "plane_ends": pa.array([ends], pa.list_(pa.int64())),
                     "planes": pa.array([planes], pa.binary()),
@@ -125,13 +127,14 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
             for row in batch.to_pylist():
                 ids = from_planes(row["plane_ends"], row["planes"])
                 names = np.frombuffer(expand(row["doc_ids"]), "<i8")
+                absent = np.unpackbits(np.frombuffer(expand(row["null_ids"]), np.uint8), count=len(names)).astype(bool)
                 ends = np.cumsum(np.frombuffer(expand(row["doc_sizes"]), "<i8"))
                 starts = np.concatenate([[0], ends[:-1]])
                 raw = memoryview(ids.tobytes())
                 bodies = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 columns = {
                     "shard": pa.array(np.full(len(names), row["shard"], np.int32)),
-                    "doc_id": pa.array(names, mask=names == -(1 << 63)),
+                    "doc_id": pa.array(names, mask=absent),
                     "at": pa.array(starts + row["first"], pa.int64()),
                     "n_tokens": pa.array(ends - starts, pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(b) for b in bodies], pa.int64()),

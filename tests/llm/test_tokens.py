@@ -162,3 +162,12 @@ def test_empty_tables(spark, no_docs):
     token_files.write_tokens(no_docs, VOCABULARY, 2, path)
     assert token_files.read_tokens(spark, path).collect() == []
     assert packing.pack(no_docs, VOCABULARY).collect() == []
+
+
+def test_token_files_keep_the_least_id_and_null_apart(spark, tmp_path):
+    least = -(1 << 63)
+    rows = [(least, "the least"), (None, "none"), (0, "zero"), (-1, "minus one"), (None, "none either")]
+    path = str(tmp_path / "ids")
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY, 2, path)
+    found = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [None, None, least, -1, 0]
