@@ -5,9 +5,12 @@ it; a chain of two states links the labels of neighbouring lines. A document's s
 mean of its lines' forward-backward marginals, weighted by length, put through a logistic
 curve fitted on the training documents.
 
-Training lines take their document's label. The model is fitted on the driver from a bounded
-sample: at most ``TRAIN_DOCS`` documents of each label, the first by a hash of their id, of at
-most ``TRAIN_LINES`` lines each. Scoring covers all lines of all documents.
+Only documents are labelled, and a bad one may hold good lines. So lines are told apart first, by a
+logistic model of each line's own features under its document's label. The lines of a bad document
+that this model finds good are labelled good, all but its worst one; those of good documents all
+are. The field is fitted to these labels, which change within documents. It is fitted on the driver from a bounded sample: at
+most ``TRAIN_DOCS`` documents of each label, the first by a hash of their id, of at most
+``TRAIN_LINES`` lines and ``TRAIN_CHARS`` characters each. Scoring covers all lines of all documents.
 
 Null text counts as empty, which is one empty line. Repeated rows are scored one by one. Labels
 with a null id or label are not used; without any usable label of both kinds the score is the
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from clonarium.llm.bpe import _powers, chunks
 from clonarium.llm.common import documents
 
-TRAIN_DOCS, TRAIN_LINES = 2500, 400
+TRAIN_DOCS, TRAIN_LINES, TRAIN_CHARS = 2500, 400, 200_000
 ROUNDS, RATE, PENALTY = 250, 0.05, 1e-4
 _LOWER, _UPPER, _DIGIT, _SPACE, _STOP, _BANG, _BAR, _SIGN, _OTHER = range(9)
 _KINDS = 9
@@ -181,6 +184,28 @@ class Model:
         return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
+def line_labels(own: np.ndarray, per_text: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A label per line from its own features, scaled, and its document's label; see above."""
+    text = np.repeat(np.arange(len(label)), per_text)
+    inputs = np.hstack([own, np.ones((len(own), 1))])
+    found = np.zeros(inputs.shape[1])
+    # Newton's method; the penalty keeps separable lines from running off.
+    for _ in range(25):
+        p = _sigmoid(inputs @ found)
+        slope = inputs.T @ (weight * (label[text] - p)) - PENALTY * found
+        bend = (inputs * (weight * p * (1 - p))[:, None]).T @ inputs + PENALTY * np.eye(len(found))
+        step = np.linalg.solve(bend, slope)
+        found += step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
+    odds = inputs @ found
+    wanted = (odds >= 0).astype(np.int64)
+    first = np.cumsum(per_text) - per_text
+    # A bad document's worst line stays bad.
+    worst = np.minimum.reduceat(odds, first)[text] == odds
+    wanted[worst & (label[text] == 0)] = 0
+    wanted[label[text] == 1] = 1
+    return wanted
+
+
 def fit(features: np.ndarray, size: np.ndarray, per_text: np.ndarray, label: np.ndarray) -> Model:
     """Maximum likelihood of the lines' labels, both kinds of document weighing the same."""
     centre, scale = features.mean(axis=0), features.std(axis=0) + 1e-6
@@ -190,7 +215,8 @@ def fit(features: np.ndarray, size: np.ndarray, per_text: np.ndarray, label: np.
     share = np.array([max((label == 0).sum(), 1), max((label == 1).sum(), 1)])
     doc_weight = (len(label) / 2 / share)[label] / len(label)
     text = np.repeat(np.arange(len(label)), per_text)
-    weight, wanted = (doc_weight / per_text)[text], label[text].astype(float)
+    weight = (doc_weight / per_text)[text]
+    wanted = line_labels(inputs[:, : features.shape[1]], per_text, label, weight).astype(float)
     moments = [np.zeros(model.weights.shape), np.zeros((2, 2)), np.zeros(model.weights.shape), np.zeros((2, 2))]
     for step in range(1, ROUNDS + 1):
         unary = inputs @ model.weights
@@ -237,7 +263,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, label_co
     # At most 2 * TRAIN_DOCS rows of two numbers.
     sample = F.broadcast(drawn[0].union(drawn[1]))
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    return documents(docs).join(sample, "doc_id").where(breaks < TRAIN_LINES)
+    return documents(docs).join(sample, "doc_id").where((breaks < TRAIN_LINES) & (F.length("text") <= TRAIN_CHARS))
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "quality") -> Model | float:

@@ -223,7 +223,8 @@ def test_no_conversations(spark):
 # ---- quality
 
 
-def quality_corpus(n=240):
+def quality_corpus(n=240, mixed=False):
+    """Good and bad documents; if ``mixed``, some lines of the bad ones are like those of the good."""
     drawn = random.Random(11)
     words = ["the", "shore", "and", "winter", "came", "over", "a", "quiet", "harbour"]
 
@@ -236,7 +237,10 @@ def quality_corpus(n=240):
     out = []
     for i in range(n):
         label = i % 2
-        out.append((i, "\n".join((good if label else bad)() for _ in range(drawn.randrange(1, 8))), label))
+        lines = [(good if label else bad)() for _ in range(drawn.randrange(1, 8))]
+        if mixed and not label:
+            lines[1:1] = [good() for _ in range(drawn.randrange(4))]
+        out.append((i, "\n".join(lines), label))
     return out
 
 
@@ -252,6 +256,20 @@ def test_quality_is_learnt_and_held_out_documents_are_told_apart(spark):
     assert all(found[i].n_bad_lines == (0 if q else found[i].n_lines) for i, _, q in rows[160:])
 
 
+def test_lines_of_one_document_may_differ(spark):
+    rows = quality_corpus(mixed=True)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows if i < 160], "doc_id long, quality int")
+    model = line_crf.train(docs, labels, F.lit(True))
+    found = {r.doc_id: r for r in line_crf.score(docs, model).collect()}
+    assert all((found[i].score >= 0.5) == bool(q) for i, _, q in rows if i >= 160)
+    hidden = [(found[i].n_bad_lines, sum("|" in line for line in t.split("\n")), t.count("\n") + 1) for i, t, q in rows if i >= 160 and not q]
+    assert sum(bad < n for _, bad, n in hidden) > 15
+    assert np.mean([n_bad == bad for n_bad, bad, _ in hidden]) >= 0.9
+    # The chain changes state within documents, and prefers not to.
+    assert model.links[0, 0] + model.links[1, 1] > model.links[0, 1] + model.links[1, 0]
+
+
 def test_marginals_are_those_of_all_paths():
     drawn = np.random.default_rng(4)
     for n in (1, 2, 5):
