@@ -30,8 +30,6 @@ def with_convention(
     convention: str,
     column: str = "tumour_id",
     only_family: str | None = None,
-    *,
-    limit: int | None = None,
 ) -> DataFrame:
     """Re-emit tumour ids in the ``ltx`` or ``cruk`` convention.
 
@@ -55,7 +53,7 @@ def with_convention(
             ).otherwise(F.raise_error(F.concat(F.lit(f"not a {only_family} id: "), F.col(column)))),
         )
     parsed = parsed.withColumn("_patient", F.col("_id.patient"))
-    joined = lookup_join(parsed, lookup, ["_patient"], "left", limit=limit)
+    joined = lookup_join(parsed, lookup, ["_patient"], "left")
     patient = (
         F.when(~F.col("_patient").startswith(family), F.col("_patient"))
         .when(F.col("_translated").isNotNull(), F.col("_translated"))

@@ -3,117 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from clonarium.session import broadcast_limit, estimated_bytes
 
-# A key is heavy above this share of all rows, so there are fewer than 512 of them
-# however large the table is: that bounds everything collected or broadcast here.
-HEAVY_SHARE = 1 / 512
-
-# The rows of the other side that belong to heavy keys are broadcast up to this number and
-# this many bytes; beyond it the shuffle join with its runtime skew split takes over.
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether Catalyst's size estimate is under the session's broadcast threshold."""
-    allowed = broadcast_limit(df.sparkSession) if limit is None else limit
-    return estimated_bytes(df) <= allowed
-
-
-# Keys the frequency sketch tracks. Its error, about 3.5 / 16384 of the rows, is far
-# below the share, so no heavy key is missed.
-TRACKED_KEYS = 10_000
-
-
-def _splittable(facts: DataFrame, on: Sequence[str]) -> bool:
-    """Whether equal keys always hash alike, which signed zeros and collations break."""
-    kinds = [facts.schema[k].dataType.simpleString() for k in on]
-    return not any(kind in ("float", "double") or "collate" in kind for kind in kinds)
-
-
-def _all_present(on: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-
-
-def heavy_hashes(
-    facts: DataFrame, on: Sequence[str], share: float = HEAVY_SHARE
-) -> tuple[list[int], bool]:
-    """Hashes of the keys above ``share`` of the rows, and whether as many lack a key.
-
-    One pass with a frequency sketch: every task sends a fixed-size summary, so the keys
-    themselves are neither shuffled nor collected. The result only decides which rows
-    take which way to the same join result.
-    """
-    key = F.when(_all_present(on), F.xxhash64(*on)).alias("_key")
-    n_rows, n_keys, top = (
-        facts.select(key)
-        .agg(
-            F.count(F.lit(1)),
-            F.count("_key"),
-            F.call_function("approx_top_k", F.col("_key"), F.lit(int(1 / share)), F.lit(TRACKED_KEYS)),
-        )
-        .first()
-    )
-    heavy = [t["item"] for t in top if t["item"] is not None and t["count"] > share * n_rows]
-    return heavy, n_rows - n_keys > share * n_rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    *,
-    limit: int | None = None,
-    share: float | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join facts, whose keys may be skewed, to a lookup (``inner`` or ``left``).
 
-    * A lookup below the broadcast threshold, or facts below it in an inner join, are
-      left to Catalyst, which broadcasts them.
-    * Otherwise it is a shuffle join, whose oversized partitions Spark splits at run time.
-    * With ``share``, such as ``HEAVY_SHARE``, the keys above that share of the facts are found
-      by a sketch first, one more pass over the facts. Facts of a heavy key meet only that
-      key's lookup rows, which are counted, measured and broadcast, so these facts are not
-      shuffled; should the heavy keys own too many lookup rows, they stay with the others.
-      Facts without a key, if many, skip a left join, as they can match nothing.
-
-    With ``share`` the facts are read once per branch, so an expensive input should be a written
-    table. ``on`` columns come first in the result, as with ``DataFrame.join(on=...)``.
+    A lookup below the broadcast threshold, or facts below it in an inner join, are broadcast by
+    Catalyst. Otherwise it is a shuffle join whose oversized partitions Spark splits at run time by
+    map output (``skewJoin``, which ``session`` forces on), so exact copies of one row are split as
+    well. ``on`` columns come first in the result, as with ``DataFrame.join(on=...)``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join does inner and left joins, not {how!r}")
-    on = list(on)
-    if fits_broadcast(lookup, limit) or how == "inner" and fits_broadcast(facts, limit):
-        return facts.join(lookup, on, how)
-
-    if share is None or not _splittable(facts, on):
-        return facts.join(lookup, on, how)
-    heavy, many_without_key = heavy_hashes(facts, on, share)
-    complete = _all_present(on)
-    parts, rest = [], facts
-    if heavy:
-        kinds = {k: facts.schema[k].dataType for k in on}
-        same_kind = [F.col(k) if lookup.schema[k].dataType == kinds[k] else F.col(k).try_cast(kinds[k]) for k in on]
-        heavy_lookup = lookup.where(F.xxhash64(*same_kind).isin(heavy))
-        row_bytes = F.octet_length(F.to_json(F.struct("*")))
-        n, size = heavy_lookup.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
-        if n <= max_rows and (size or 0) <= MAX_BROADCAST_BYTES:
-            is_heavy = complete & F.xxhash64(*on).isin(heavy)
-            parts.append(facts.where(is_heavy).join(F.broadcast(heavy_lookup), on, how))
-            rest = facts.where(~is_heavy)
-    if how == "left" and many_without_key:
-        others = [c for c in facts.columns if c not in on]
-        nulls = [
-            F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in lookup.columns if c not in on
-        ]
-        parts.append(facts.where(~complete).select(*on, *others, *nulls))
-        rest = rest.where(complete)
-    return reduce(DataFrame.unionByName, parts, rest.join(lookup, on, how))
+    return facts.join(lookup, list(on), how)

@@ -131,13 +131,3 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of the optimised plan, the one it broadcasts by."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    number = text.rstrip("b")
-    if number and number[-1] in units:
-        return int(number[:-1]) * units[number[-1]]
-    return int(number)

@@ -93,7 +93,7 @@ def test_convention(spark, rows):
     assert rows(joins.with_convention(df, crosswalk, "cruk"), "tumour_id", "n") == [
         (None, 3), ("CRUK0022_1", 1), ("CRUK0192_2", 2),
     ]
-    assert rows(joins.with_convention(df, crosswalk, "ltx", limit=0), "tumour_id", "n") == [
+    assert rows(joins.with_convention(df, crosswalk, "ltx"), "tumour_id", "n") == [
         (None, 3), ("LTX0004-Tumour1", 1), ("LTX0008-Tumour2", 2),
     ]
     unknown = spark.createDataFrame([("LTX0009_1",)], "tumour_id string")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from clonarium.operators import intervals
 from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
-from clonarium.operators.skew import fits_broadcast, heavy_hashes, lookup_join
+from clonarium.operators.skew import lookup_join
 from clonarium.operators.sweep import sweep_join
-from clonarium.session import broadcast_limit, estimated_bytes, job_settings
+from clonarium.session import job_settings
 from clonarium.sources.chain import read_chain
 
 
@@ -27,63 +27,34 @@ def lookup(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("max_rows", [200_000, 0])
-def test_lookup_join_equals_plain_join(facts, lookup, rows, how, max_rows):
+def test_lookup_join_in_a_shuffle_splits_a_heavy_key(spark, facts, lookup, rows, how):
+    """Without broadcast, with partitions small enough that the heavy key's has to be split."""
     plain = rows(facts.join(lookup, ["k"], how))
-    assert rows(lookup_join(facts, lookup, ["k"], how)) == plain
-    split = lookup_join(facts, lookup, ["k"], how, limit=0, share=0.1, max_rows=max_rows)
-    assert split.columns == ["k", "v", "w"]
-    assert rows(split) == plain
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lookup_join(facts.repartition(20), lookup, ["k"], how)
+        assert joined.columns == ["k", "v", "w"] and rows(joined) == plain
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_lookup_join_with_repeated_lookup_keys(facts, lookup, rows):
     doubled = lookup.union(lookup)
-    got = lookup_join(facts, doubled, ["k"], "inner", limit=0, share=0.1)
-    assert rows(got) == rows(facts.join(doubled, ["k"]))
-
-
-def test_heavy_keys_are_few(spark, facts):
-    hot = spark.sql("SELECT xxhash64('hot')").first()[0]
-    assert heavy_hashes(facts, ["k"], 0.1) == ([hot], False)
-    assert heavy_hashes(facts.limit(0), ["k"], 0.1) == ([], False)
-    assert heavy_hashes(facts.selectExpr("string(null) AS k"), ["k"], 0.1) == ([], True)
-    # evenly spread keys: none is heavy, however many there are
-    assert heavy_hashes(spark.range(50_000), ["id"]) == ([], False)
-
-
-def test_no_heavy_key_is_missed(spark):
-    many = spark.range(200_000).selectExpr("if(id % 4 = 0, id % 100, id) AS k")
-    heavy, _ = heavy_hashes(many, ["k"])
-    expected = spark.range(100).where("id % 4 = 0").selectExpr("xxhash64(id)")
-    assert sorted(heavy) == sorted(r[0] for r in expected.collect())
+    assert rows(lookup_join(facts, doubled, ["k"], "inner")) == rows(facts.join(doubled, ["k"]))
 
 
 def test_lookup_key_of_another_type(spark, rows):
     small = spark.createDataFrame([(7 if i % 2 else i, i) for i in range(100)], "k int, v int")
     wide = spark.createDataFrame([(7, "a"), (8, "b"), (1 << 40, "c")], "k long, w string")
     for how in ("inner", "left"):
-        got = lookup_join(small, wide, ["k"], how, limit=0, share=0.1)
-        assert rows(got) == rows(small.join(wide, ["k"], how))
-
-
-def test_floating_keys_are_left_alone(spark, rows):
-    facts = spark.createDataFrame([(0.0, 1)] * 5, "k double, v int")
-    lookup = spark.createDataFrame([(-0.0, "zero")], "k double, w string")
-    assert lookup_join(facts, lookup, ["k"], "inner", limit=0, share=0.1).count() == 5
-
-
-def test_many_facts_without_key(spark, lookup, rows):
-    sparse = spark.createDataFrame([(None if i % 2 else f"k{i % 8}", i) for i in range(300)], "k string, v int")
-    for how in ("inner", "left"):
-        got = lookup_join(sparse, lookup, ["k"], how, limit=0, share=0.3)
-        assert rows(got) == rows(sparse.join(lookup, ["k"], how))
-        assert got.count() == (150 if how == "inner" else 300)
-
-
-def test_heavy_facts_are_not_shuffled(facts, lookup):
-    split = lookup_join(facts, lookup, ["k"], "inner", limit=0, share=0.1)
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+        assert rows(lookup_join(small, wide, ["k"], how)) == rows(small.join(wide, ["k"], how))
 
 
 def test_lookup_join_refuses_other_kinds(facts, lookup):
@@ -91,17 +62,6 @@ def test_lookup_join_refuses_other_kinds(facts, lookup):
         lookup_join(facts, lookup, ["k"], "full")
 
 
-def test_broadcast_limit_reads_units(spark, lookup):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        for text, expected in (("10MB", 10 << 20), ("-1", -1), ("2kb", 2048), ("77", 77), ("5b", 5)):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-            assert broadcast_limit(spark) == expected
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert estimated_bytes(lookup) > 0 and not fits_broadcast(lookup, 0)
-
-
 def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     for size, n in ((1, int(spark.conf.get("spark.sql.shuffle.partitions"))), (10 << 30, 80), (100 << 40, 819_200)):
@@ -252,7 +212,7 @@ def test_liftover(spark, rows):
          ("X", 5, "Y", 47)],
         key=lambda t: [(v is not None, str(v)) for v in t],
     )
-    lifted = lifted_mutations(mutations, lookup, limit=0)
+    lifted = lifted_mutations(mutations, lookup)
     ids = sorted(str(r.mutation_id_hg38) for r in lifted.collect())
     assert ids == ["LTX1_1:1:1101:A:T", "LTX1_1:1:1101:A:T", "LTX1_1:2:8992:A:-", "LTX1_1:Y:47:C:G", "None", "None"]
     coverage = mapping_coverage(lookup, lifted).first()
