@@ -122,10 +122,23 @@ ORACLES = {
         words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
                   FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
         named AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
-                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id)
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id),
+        phrases AS (SELECT row_number() OVER (ORDER BY phrase) AS id, phrase, size FROM (SELECT DISTINCT phrase, size FROM windows)),
+        terms AS (SELECT id, size, unnest(range(size)) AS j, unnest(string_split(phrase, ' ')) AS word FROM phrases),
+        stand AS (SELECT doc_id, len(w) AS n, unnest(range(len(w))) AS p, unnest(w) AS word FROM docs),
+        whole AS (SELECT doc_id, id FROM (SELECT DISTINCT id, word, len(list_distinct(string_split(phrase, ' '))) AS m
+                                         FROM terms JOIN phrases USING (id))
+                 JOIN (SELECT DISTINCT doc_id, word FROM stand) USING (word) GROUP BY doc_id, id, m HAVING count(*) = m),
+        starts AS (SELECT doc_id, id, size, j, p - j + d AS s
+                   FROM whole JOIN terms USING (id) JOIN stand USING (doc_id, word), (SELECT unnest([-1, 0, 1]) AS d)
+                   WHERE p - j + d BETWEEN 0 AND n - size),
+        near AS (SELECT DISTINCT doc_id, id
+                 FROM (SELECT doc_id, id, size, s FROM starts GROUP BY ALL HAVING count(DISTINCT j) = size)),
+        nearby AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near JOIN phrases USING (id) JOIN windows USING (phrase) GROUP BY doc_id)
         SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+               coalesce(n_near, 0) AS n_near
+        FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN nearby USING (doc_id)""",
     "op11_merkle_manifest": f"""
         WITH RECURSIVE leaves AS (
             SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,

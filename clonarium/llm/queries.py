@@ -29,6 +29,7 @@ from clonarium.llm.oracles import ORACLES  # noqa: F401  (read with QUERIES)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT, SEQUENCE_TOKENS, END_OF_DOCUMENT, END_OF_TEXT = 512, 1024, 2, 0
+PROXIMITY_SLOP = 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,8 +108,8 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the benchmark windows that occur in them."""
-    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Documents with the benchmark windows that occur in them, word by word or nearly so."""
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=PROXIMITY_SLOP)
     sizes = F.transform("runs", lambda r: r["end"] - r["begin"])
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
@@ -118,6 +119,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.size("runs") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
     )
 
 

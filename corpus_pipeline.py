@@ -44,8 +44,7 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of the benchmark occurs."""
-    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"), *_carried(docs))
-    return _restored(found.where(F.size("runs") == 0), docs)
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -331,12 +332,10 @@ def benchmark_items(texts):
     return [*items, (20, texts[9]), (21, "Tion"), (22, "étre 日本"), (23, ""), (24, None), (25, "no such words here"), (20, texts[10]), (None, texts[0])]
 
 
-@pytest.mark.parametrize(("segment", "block"), [(1 << 21, 16 << 20), (300, 400)])
-def test_benchmark_windows(spark, docs, texts, benchmark_items, monkeypatch, segment, block):
-    monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", segment)
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("segment", [1 << 23, 300])
+def test_benchmark_windows(spark, docs, texts, benchmark_items, segment):
     bench = spark.createDataFrame(benchmark_items, "item_id long, text string")
-    found = sorted(decontaminate.find_benchmark(docs, bench, "source", width=4, slop=1).collect())
+    found = sorted(decontaminate.find_benchmark(docs, bench, "source", width=4, slop=1, segment_bytes=segment).collect())
     items = [(i, t) for i, t in benchmark_items if i is not None]
     wanted = plain_hits([*texts, None], items, 4)
     assert [(r.n_words, sum(x.end - x.begin for x in r.runs), r.items) for r in found] == wanted
@@ -375,3 +374,34 @@ def test_benchmark_without_rows(spark, twice, no_docs, docs):
     assert decontaminate.find_benchmark(no_docs, bench).collect() == []
     assert sum(bool(r.items) for r in decontaminate.find_benchmark(twice, bench).collect()) == 3
     assert not any(r.items or r.runs for r in decontaminate.find_benchmark(docs, bench.where("false")).collect())
+
+
+def test_benchmark_words_that_repeat(spark):
+    """Windows of one frequent word, whose lists are as long as the texts, and a text of many segments' size."""
+    texts = ["a " * 5000, "b a a a a b " * 700, "a a a", "b " * 40]
+    items = [(1, "a a a a a a"), (2, "a b b a"), (3, "b b a a a")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(decontaminate.find_benchmark(docs, bench, width=4, slop=2, segment_bytes=1000).collect())
+    assert [(r.n_words, sum(x.end - x.begin for x in r.runs), r.items) for r in found] == plain_hits(texts, items, 4)
+    kept = decontaminate.drop_contaminated(docs, bench, width=4)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, hit in enumerate(plain_hits(texts, items, 4)) if not hit[1]]
+
+
+def test_candidates_in_parts_give_the_same_matches(monkeypatch):
+    rows = list(decontaminate._postings([7, 9], [b"a b a a b a", b"b b a a a b"]))
+    names = [*rows[0].schema.names, "window", "words"]
+
+    def matches():
+        state = decontaminate.Segment()
+        for part in rows:
+            state.parts.append(pa.RecordBatch.from_arrays([*part.columns, pa.nulls(len(part)), pa.nulls(len(part))], names=names))
+        state.seal()
+        asked = pa.RecordBatch.from_pydict({"window": [0, 1, 2], "words": [[b"a", b"b"], [b"b", b"a", b"a"], [b"a", b"c"]]})
+        made = [r for b in state.search(asked, 1) for r in b.to_pylist()]
+        return sorted((r["key"], r["window"], r["exact"]) for r in made), [r for b in state.runs() for r in b.to_pylist()]
+
+    whole = matches()
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 1)
+    assert matches() == whole
+    assert {k for k, _, _ in whole[0]} == {7, 9}
