@@ -132,11 +132,15 @@ def test_windows(benchmark: DataFrame, width: int = WINDOW, item_id: str = "item
 
 
 def _candidates(index: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segment, window) where the window's rarest word occurs, and the words of all windows left."""
+    """(segment, window) where the window's rarest word occurs, and the words of all windows that occur.
+
+    What comes from the benchmark is written first: its size is known to the joins with the
+    index then, which leave the index where it is if the benchmark is small.
+    """
     terms = windows.select("window", F.explode(F.array_distinct("words")).alias("word"))
     held = index.where("word is not null").select("segment", "word", "n")
-    counts = held.join(terms.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "counts")
+    asked = materialize(terms.select("word").distinct(), "words")
+    counts = materialize(held.join(asked, "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     rarest = (
         terms.join(counts, "word", "left")
         .groupBy("window")
@@ -144,7 +148,7 @@ def _candidates(index: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFr
         .where("_whole")
         .select("window", "word")
     )
-    led = held.select("segment", "word").join(rarest, "word").select("segment", "window")
+    led = held.select("segment", "word").join(materialize(rarest, "rarest"), "word").select("segment", "window")
     return materialize(led, "candidates"), counts.select("word")
 
 
@@ -158,7 +162,8 @@ def search(index: DataFrame, benchmark: DataFrame, width: int = WINDOW, slop: in
     named = made.join(windows, "words").select("window", "item")
     led, terms = _candidates(index, windows)
 
-    wanted = index.join(led.select("segment").distinct(), "segment", "left_semi")
+    segments = materialize(led.select("segment").distinct(), "segments")
+    wanted = index.join(segments, "segment", "left_semi")
     lists = wanted.where("word is not null").join(terms, "word", "left_semi")
     columns = ["segment", "docs", "word", "places"]
     postings = wanted.where("word is null").select(*columns).unionByName(lists.select(*columns))
