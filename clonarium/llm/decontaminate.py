@@ -17,8 +17,8 @@ as they are, not by fingerprint.
 
 Neither documents nor benchmark go through the driver or are broadcast by force. A task holds the
 postings of one segment, a batch of windows and at most ``CANDIDATES`` starts at a time, or the list
-of one word if that is longer; a document longer than a segment is a segment of its own, at some
-twenty bytes a word. A leading word of very many windows and segments is a heavy key of an
+of one word if that is longer; a document longer than a segment is a segment of its own, at
+some tens of bytes a word. A leading word of very many windows and segments is a heavy key of an
 ordinary join, which Spark splits at run time.
 
 Null text has no words. Items without words never occur; several rows of one item are items
