@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from clonarium.llm.pii import IBAN_COUNTRIES
+
 _ROLE_MARKS = "CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 END"
 
 # The plain patterns; kind, rank, pattern, context words, score, what confirms a match.
@@ -17,10 +19,6 @@ _KINDS = [
                        ELSE 2 * CAST(substr({_DIGITS}, length({_DIGITS}) - i, 1) AS INT) END
                   FOR i IN range(CAST(length({_DIGITS}) AS INT))]) % 10 = 0"""),
     ("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "phone|call|tel|mobile|fax", 0.6, f"length({_DIGITS}) BETWEEN 9 AND 15"),
-    ("iban", 4, r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", "iban|account|bank", 0.8,
-     """list_reduce([CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END
-                     FOR c IN string_split(substr(replace(found, ' ', ''), 5) || substr(replace(found, ' ', ''), 1, 4), '')],
-                    lambda a, b: CASE WHEN b >= 10 THEN (a * 100 + b) % 97 ELSE (a * 10 + b) % 97 END, 0) = 1"""),
 ]
 
 _MATCHES = " UNION ALL ".join(
@@ -33,6 +31,35 @@ _MATCHES = " UNION ALL ".join(
 )
 _CONFIRMED = " ".join(f"WHEN '{kind}' THEN {test}" for kind, *_, test in _KINDS)
 
+
+def _number(length: int, countries: str) -> str:
+    """An account number of so many characters, spaces between blocks of four aside."""
+    blocks, rest = divmod(length - 4, 4)
+    last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{blocks}}}{last}"
+
+
+_NUMBERS = "|".join(_number(n, countries) for n, countries in IBAN_COUNTRIES.items())
+_MOD97 = """list_reduce([CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END
+                     FOR c IN string_split(substr(replace(found, ' ', ''), 5) || substr(replace(found, ' ', ''), 1, 4), '')],
+                    lambda a, b: CASE WHEN b >= 10 THEN (a * 100 + b) % 97 ELSE (a * 10 + b) % 97 END, 0) = 1"""
+# Account numbers: wherever two letters and two digits stand, as long as the country says; of those that
+# overlap the first stays. The longest has 33 characters and eight spaces.
+_ACCOUNTS = rf"""
+        heads AS (SELECT doc_id, t, CAST(sum(length(pieces[i]) + 4) OVER (PARTITION BY doc_id ORDER BY i) - 4 AS BIGINT) AS begin
+                  FROM (SELECT *, unnest(range(1, len(pieces))) AS i
+                        FROM (SELECT doc_id, t, string_split_regex(t, '[A-Z]{{2}}[0-9]{{2}}') AS pieces FROM docs))),
+        numbers AS (SELECT *, lag(begin + length(found), 1, 0) OVER (PARTITION BY doc_id ORDER BY begin) AS before
+                    FROM (SELECT *, regexp_extract(substr(t, begin + 1, 60), '^({_NUMBERS})(?:[^A-Z0-9]|$)', 1) AS found FROM heads)
+                    WHERE found <> ''),
+        sure AS (SELECT doc_id, begin, begin + length(found) AS stop,
+                        0.8 + CASE WHEN regexp_matches(lower(right(substr(t, before + 1, greatest(begin - before, 0)), 40)), 'iban|account|bank')
+                                   THEN 0.1 ELSE 0 END AS score
+                 FROM numbers WHERE {_MOD97}),
+        accounts AS (SELECT doc_id, unnest(list_reduce(list([{{'begin': begin, 'stop': stop, 'score': score}}] ORDER BY begin),
+                                lambda kept, x: CASE WHEN x[1].begin < kept[-1].stop THEN kept ELSE kept || x END), recursive := true)
+                     FROM sure GROUP BY doc_id)"""
+
 _LETTERS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -74,9 +101,11 @@ ORACLES = {
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         placed AS (SELECT *, sum(length(piece) + length(found)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
                    FROM ({_MATCHES})),
-        spans AS (SELECT doc_id, kind, rank, score, CAST(stop - length(found) AS BIGINT) AS begin, CAST(stop AS BIGINT) AS stop,
-                         kind || ':' || CAST(stop - length(found) AS BIGINT) || ':' || CAST(stop AS BIGINT) AS listed
-                  FROM placed WHERE CASE kind {_CONFIRMED} END),
+        {_ACCOUNTS},
+        spans AS (SELECT *, kind || ':' || begin || ':' || stop AS listed
+                  FROM (SELECT doc_id, kind, rank, score, CAST(stop - length(found) AS BIGINT) AS begin, CAST(stop AS BIGINT) AS stop
+                        FROM placed WHERE CASE kind {_CONFIRMED} END
+                        UNION ALL SELECT doc_id, 'iban', 4, score, begin, stop FROM accounts)),
         found AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
                          count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
                          count(*) FILTER (kind = 'iban') AS n_iban, max(score) AS top,

@@ -4,12 +4,13 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clonarium.llm import chat_format, decontaminate, line_crf, pii
+from clonarium.llm import chat_format, decontaminate, line_crf, pii, queries
 
 # ---- personal data
 
@@ -95,7 +96,7 @@ def plain_accounts(text):
     return found
 
 
-def test_account_numbers_next_to_other_blocks(spark):
+def test_account_numbers_next_to_other_blocks(spark, tmp_path):
     cases = {
         "AT61 1904 3002 3457 3201 BIC BKAUATWW": [(0, 24)],
         "BE68 5390 0754 7034 EUR": [(0, 19)],
@@ -117,6 +118,13 @@ def test_account_numbers_next_to_other_blocks(spark):
     got = {r.text: [(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in found}
     assert got == {t: plain_accounts(t) for t in texts}
     assert sum(map(len, got.values())) > 300
+    # The SQL knows the same rule, context scores included.
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    query = queries.QUERIES["op1_pii"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = con.execute(f"SELECT {', '.join(query.columns)} FROM ({queries.ORACLES['op1_pii']})").fetchall()
+    assert sorted(map(tuple, query.collect())) == sorted(wanted)
 
 
 def test_running_sums_over_several_blocks(spark):
