@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from clonarium.functions.labels import without_markers
 from clonarium.operators.quality import require_columns
 from clonarium.operators.reshape import quoted
-from clonarium.sources.records import TextFiles, cells, open_files
+from clonarium.sources.blockgzip import block_gzip_files, unpacked_lines
+from clonarium.sources.records import TextFiles, cells, open_files, open_lines
 
 # Null markers by kind of file.
 MARKERS_PLAIN = ["NA", ""]
@@ -31,11 +32,10 @@ def read_text_columns(
     A record with more or fewer cells than the header fails the job. ``partitions``: see
     ``read_delimited``; for records and quotes see ``records``.
     """
-    files = open_files(spark, path, sep, has_header=names is None)
+    files = _spread(spark, path, sep, names is None, partitions) if partitions else open_files(spark, path, sep, has_header=names is None)
     if names is None:
         names = _shared_header(files, sep)
-    body = files.body.repartition(partitions) if partitions else files.body
-    split = body.select("path", cells(F.col("record"), sep).alias("cells"))
+    split = files.body.select("path", cells(F.col("record"), sep).alias("cells"))
     given = F.concat(F.size("cells").cast("string"), F.lit(f" cells instead of {len(names)} in "), F.col("path"))
     checked = F.when(F.size("cells") == len(names), F.col("cells")).otherwise(F.raise_error(F.concat(F.lit("malformed record: "), given)))
     # One array a row, checked once, then its cells.
@@ -44,6 +44,17 @@ def read_text_columns(
     )
 
 
+def _spread(spark: SparkSession, path: str | list[str], sep: str, has_header: bool, partitions: int) -> TextFiles:
+    """The records of the files, those of gzip files in so many tasks."""
+    blocked = block_gzip_files(spark, path)
+    files = open_files(spark, path, sep, blocked, has_header)
+    body = files.body.repartition(partitions)
+    if not blocked:
+        return TextFiles(files.headers, body)
+    unpacked = open_lines(unpacked_lines(spark, path, blocked, partitions), sep, has_header)
+    return TextFiles(files.headers.unionByName(unpacked.headers), body.unionByName(unpacked.body))
+
+
 def _shared_header(files: TextFiles, sep: str) -> list[str]:
     """The one header of all files; a column without a name is called by its place."""
     found = files.headers.groupBy("header").agg(F.min("path").alias("path")).limit(2).select(cells(F.col("header"), sep).alias("names"), "path").collect()
@@ -90,7 +101,8 @@ def read_delimited(
     """A typed table from one file, or from several files with the same header.
 
     ``partitions`` is for gzip files, which Spark can only unpack in one task each: the
-    records are spread over that many tasks first and taken apart there. It changes no row.
+    records are spread over that many tasks first and taken apart there; block gzip is unpacked
+    there too. It changes no row.
     """
     text = read_text_columns(spark, path, sep, names, partitions)
     return (typed_all if keep_others else typed)(text, types, markers)

@@ -126,15 +126,19 @@ def survey(spark: SparkSession, path: str | list[str], sep: str, without: list[s
 
     ``lenient`` goes on where a file breaks off; ``broken_files`` then tells which did.
     """
+    return materialize(_summary(_lines(spark, path, list(without), lenient), sep), "survey")
+
+
+def _summary(lines: DataFrame, sep: str) -> DataFrame:
     # What the scan without header takes for blank: see ``_plain_body``.
     faint = ~F.col("line").rlike(r"[^\x00-\x20]")
-    summary = _lines(spark, path, list(without), lenient).groupBy("path", "block").agg(
+    summary = lines.groupBy("path", "block").agg(
         F.sum(F.octet_length("line").cast("long") + 1).alias("n_bytes"),
-        F.min(F.when(~faint, F.struct("n", "line")))["line"].alias("first"),
+        F.min(F.when(~faint, F.struct("n", "line"))).alias("_first"),
         F.count_if(ends_inside(F.col("line"), sep)).alias("n_open"),
         F.count_if(faint & ~_blank(_without_return(F.col("line")))).alias("n_faint"),
     )
-    return materialize(summary, "survey")
+    return summary.select("*", F.col("_first.line").alias("first"), F.col("_first.n").alias("first_n")).drop("_first")
 
 
 @dataclass
@@ -154,18 +158,37 @@ def open_files(
     top = blocks.where("first is not null").groupBy("path").agg(F.min_by("first", "block").alias("header"))
     headers = top.withColumn("header", _without_return(F.col("header")))
     body = _plain_body(spark, path, list(without), has_header, bool(totals["n_faint"]))
-    if totals["n_open"]:
-        # A written table: its size is known, so few paths are broadcast.
-        stitch = materialize(blocks.where("n_open > 0").select("path").distinct(), "quoted-files")
-        headers, body = (df.join(stitch, "path", "left_anti") for df in (headers, body))
-        whole = stitched(lookup_join(_lines(spark, path, list(without)), stitch, ["path"], "inner"), sep)
-        place = whole.groupBy("path").agg(F.min_by("record", "start").alias("header"), F.min("start").alias("_first"))
-        place = materialize(place, "stitched-headers")
-        if has_header:
-            headers = headers.unionByName(place.select("path", "header"))
-            whole = whole.join(place.select("path", "_first"), "path").where(F.col("start") != F.col("_first"))
-        body = body.unionByName(whole.select("path", "record"))
-    return TextFiles(headers, body)
+    files = TextFiles(headers, body)
+    return _with_stitched(files, blocks, _lines(spark, path, list(without)), sep, has_header) if totals["n_open"] else files
+
+
+def open_lines(lines: DataFrame, sep: str, has_header: bool = True) -> TextFiles:
+    """The records of ``lines`` (path, block, n, line), of which ``n`` is the same in every scan."""
+    blocks = materialize(_summary(lines, sep), "survey")
+    n_open = blocks.agg(F.sum("n_open")).first()[0]
+    top = blocks.where("first is not null").groupBy("path").agg(F.min(F.struct("block", "first_n", "first")).alias("_top"))
+    headers = top.select("path", _without_return(F.col("_top.first")).alias("header"))
+    rows = lines.withColumn("record", _without_return(F.col("line"))).where(~_blank(F.col("record")))
+    if has_header:
+        place = top.select("path", F.struct("_top.block", F.col("_top.first_n").alias("n")).alias("_top"))
+        rows = lookup_join(rows, materialize(place, "headers"), ["path"], "left")
+        rows = rows.where(~F.struct("block", "n").eqNullSafe(F.col("_top")))
+    files = TextFiles(headers, rows.select("path", "record"))
+    return _with_stitched(files, blocks, lines, sep, has_header) if n_open else files
+
+
+def _with_stitched(files: TextFiles, blocks: DataFrame, lines: DataFrame, sep: str, has_header: bool) -> TextFiles:
+    """``files`` with those put together from ``lines`` that have lines ending inside quotes."""
+    # A written table: its size is known, so few paths are broadcast.
+    stitch = materialize(blocks.where("n_open > 0").select("path").distinct(), "quoted-files")
+    headers, body = (df.join(stitch, "path", "left_anti") for df in (files.headers, files.body))
+    whole = stitched(lookup_join(lines, stitch, ["path"], "inner"), sep)
+    place = whole.groupBy("path").agg(F.min_by("record", "start").alias("header"), F.min("start").alias("_first"))
+    place = materialize(place, "stitched-headers")
+    if has_header:
+        headers = headers.unionByName(place.select("path", "header"))
+        whole = whole.join(place.select("path", "_first"), "path").where(F.col("start") != F.col("_first"))
+    return TextFiles(headers, body.unionByName(whole.select("path", "record")))
 
 
 def _plain_body(spark: SparkSession, path: str | list[str], without: list[str], has_header: bool, faint: bool) -> DataFrame:

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import zlib
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from clonarium.session import scratch_path
@@ -62,6 +69,46 @@ def scan_gzip(t):
     )
 
 
+def _block_gzip_writer(root):
+    """Writes each task's lines as one block gzip file of members of some 16 KB, with a header of its own."""
+    header = "\t".join(_TYPES)
+
+    def member(text):
+        packed = zlib.compressobj(wbits=-15)
+        body = packed.compress(text) + packed.flush()
+        # Fixed values of the format: deflate with the extra field BC, which holds the size less one.
+        head = b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff\x06\x00BC\x02\x00" + struct.pack("<H", len(body) + 25)
+        return head + body + struct.pack("<II", zlib.crc32(text), len(text))
+
+    def write(batches):
+        files, folder = fs.FileSystem.from_uri(re.sub("^file:/+", "/", root))
+        files.create_dir(folder, recursive=True)
+        name = f"part-{TaskContext.get().partitionId():05d}.tsv.gz"
+        with files.open_output_stream(f"{folder}/{name}", compression=None) as out:
+            rest = (header + "\n").encode()
+            for batch in batches:
+                rest += "".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode()
+                cut = len(rest) - len(rest) % 16000
+                for at in range(0, cut, 16000):
+                    out.write(member(rest[at : at + 16000]))
+                rest = rest[cut:]
+            out.write(member(rest) + member(b""))
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    return write
+
+
+@query(_SUMMARY_SQL)
+def scan_block_gzip(t):
+    """Files of many gzip members that lines and tasks cut across."""
+    root = scratch_path(t.spark, "block-gzip")
+    lines = t.lineitem.selectExpr(*_MARKED).select(F.concat_ws("\t", *_TYPES))
+    lines.mapInArrow(_block_gzip_writer(root), "name string").write.format("noop").mode("overwrite").save()
+    return _summary(
+        delimited.read_delimited(t.spark, f"{root}/*.gz", _TYPES, markers=delimited.MARKERS_SCORES, partitions=16)
+    )
+
+
 @query("SELECT p_brand, count(*) AS n_rows FROM part GROUP BY 1")
 def scan_parquet(t):
     df = delimited.read_parquet_columns(t.spark, f"{t.sf_dir}/part.parquet", ["p_partkey", "p_brand"])
