@@ -7,10 +7,12 @@ scan. A file where one does is put together again:
 
 * A line maps the state it begins in, outside or inside a quoted cell, to the state it ends in. Such
   maps are a constant, a swap or nothing, so the state at any place follows from the last constant
-  before it and the swaps since: window sums within a block.
+  before it and the swaps since. The task that scans a block, line by line in order, so finds the map
+  of the block; nothing is shuffled or sorted.
 * The same over the blocks of a file, of which there is one row each, gives the state in which
   each block begins.
-* A line that begins outside starts a record; lines of one record are joined in order.
+* A line that begins outside starts a record; a second scan joins the lines of each record. Only records
+  over the edge of a block, two a block at most, are put together from their pieces by a shuffle.
 
 A quote opens a cell at the cell's beginning only, elsewhere it is a character like any other; two
 quotes in a quoted cell are one; what follows the closing quote belongs to the cell. Lines end with a
@@ -24,7 +26,9 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -174,20 +178,23 @@ def open_lines(lines: DataFrame, sep: str, has_header: bool = True) -> TextFiles
         rows = lookup_join(rows, materialize(place, "headers"), ["path"], "left")
         rows = rows.where(~F.struct("block", "n").eqNullSafe(F.col("_top")))
     files = TextFiles(headers, rows.select("path", "record"))
-    return _with_stitched(files, blocks, lines, sep, has_header) if n_open else files
+    return _with_stitched(files, blocks, lines, sep, has_header, ordered=False) if n_open else files
 
 
-def _with_stitched(files: TextFiles, blocks: DataFrame, lines: DataFrame, sep: str, has_header: bool) -> TextFiles:
-    """``files`` with those put together from ``lines`` that have lines ending inside quotes."""
+def _with_stitched(files: TextFiles, blocks: DataFrame, lines: DataFrame, sep: str, has_header: bool, ordered: bool = True) -> TextFiles:
+    """``files`` with those put together from ``lines`` that have lines ending inside quotes.
+
+    ``ordered``: the lines of a block come one after another, in order, in one task.
+    """
     # A written table: its size is known, so few paths are broadcast.
     stitch = materialize(blocks.where("n_open > 0").select("path").distinct(), "quoted-files")
     headers, body = (df.join(stitch, "path", "left_anti") for df in (files.headers, files.body))
-    whole = stitched(lookup_join(lines, stitch, ["path"], "inner"), sep)
-    place = whole.groupBy("path").agg(F.min_by("record", "start").alias("header"), F.min("start").alias("_first"))
-    place = materialize(place, "stitched-headers")
+    whole = stitched(lines.join(F.broadcast(stitch), "path", "left_semi"), sep, ordered)
     if has_header:
+        place = whole.where("top").groupBy("path").agg(F.min_by("record", "start").alias("header"), F.min("start").alias("_first"))
+        place = materialize(place, "stitched-headers")
         headers = headers.unionByName(place.select("path", "header"))
-        whole = whole.join(place.select("path", "_first"), "path").where(F.col("start") != F.col("_first"))
+        whole = lookup_join(whole, place.select("path", "_first"), ["path"], "inner").where(~F.col("top") | (F.col("start") != F.col("_first")))
     return TextFiles(headers, body.unionByName(whole.select("path", "record")))
 
 
@@ -219,37 +226,126 @@ def _states(rows: DataFrame, over: Window, start: Column) -> DataFrame:
     return counted.withColumn("after", F.coalesce("_known.fixed", start) != (since % 2 == 1))
 
 
-def stitched(lines: DataFrame, sep: str) -> DataFrame:
-    """(path, start, record) of all records that are not blank; ``start`` orders those of a file."""
+def stitched(lines: DataFrame, sep: str, ordered: bool = True) -> DataFrame:
+    """(path, start, top, record) of all records that are not blank, in a scratch table.
+
+    ``start`` is the block in which a record starts, ``top`` tells the first one that does. For ``ordered``
+    see ``_with_stitched``.
+    """
     line = F.col("line")
-    outside, inside = ends_inside(line, sep), ends_inside(line, sep, begins_inside=True)
-    maps = lines.withColumn("_out", outside).withColumn("_in", inside).select(
-        "path", "block", "n", "line", F.when(F.col("_out") == F.col("_in"), F.col("_out")).alias("fixed"), (F.col("_out") & ~F.col("_in")).alias("swap")
-    )
-    maps = materialize(maps, "quoted-lines")
-    in_block, in_file = Window.partitionBy("path", "block").orderBy("n"), Window.partitionBy("path").orderBy("block")
-    # A block as a map: where its last line leads to from outside, and whether that is the same from inside.
-    ends = [_states(maps, in_block, F.lit(s)).groupBy("path", "block").agg(F.max_by("after", "n").alias(name)) for s, name in ((False, "_out"), (True, "_in"))]
-    blocks = ends[0].join(ends[1], ["path", "block"]).select(
-        "path", "block", F.when(F.col("_out") == F.col("_in"), F.col("_out")).alias("fixed"), (F.col("_out") & ~F.col("_in")).alias("swap")
+    maps = lines.withColumns({"out": ends_inside(line, sep), "inn": ends_inside(line, sep, begins_inside=True)})
+
+    def streamed(df: DataFrame, *columns: Column | str) -> DataFrame:
+        df = df if ordered else df.repartition("path", "block").sortWithinPartitions("path", "block", "n")
+        return df.select("path", "block", "out", "inn", *columns)
+
+    # A block as a map: where its last line leads to from outside, and from inside.
+    ends = streamed(maps).mapInArrow(_block_maps, "path string, block long, out boolean, inn boolean")
+    blocks = materialize(ends, "block-maps").select(
+        "path", "block", F.when(F.col("out") == F.col("inn"), F.col("out")).alias("fixed"), (F.col("out") & ~F.col("inn")).alias("swap")
     )
+    in_file = Window.partitionBy("path").orderBy("block")
     begins = F.lag("after", 1, False).over(in_file).alias("begins")
     begins = materialize(_states(blocks, in_file, F.lit(False)).select("path", "block", begins), "block-states")
-    placed = _states(maps.join(begins, ["path", "block"]), in_block, F.col("begins"))
-    placed = placed.withColumn("before", F.coalesce(F.lag("after").over(in_block), "begins"))
-    starts = F.last(F.when(~F.col("before"), F.col("n")), ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = materialize(placed.select("path", "block", "n", "line", "before", "after", starts.alias("_start")), "placed-lines")
-    # The last record begun in a block goes on in the blocks after it that begin inside.
-    last = placed.groupBy("path", "block").agg(F.max("_start").alias("_n"))
-    open_ = F.last(F.when(F.col("_n").isNotNull(), F.struct("block", F.col("_n").alias("n"))), ignorenulls=True)
-    last = materialize(last.select("path", "block", open_.over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_open")), "open-records")
-    here = F.when(F.col("_start").isNotNull(), F.struct("block", F.col("_start").alias("n")))
-    named = placed.join(last, ["path", "block"]).withColumn("start", F.coalesce(here, "_open"))
-    single = ~F.col("before") & ~F.col("after")
-    ordered = F.sort_array(F.collect_list(F.struct("block", "n", "line")))
-    several = named.where(~single).groupBy("path", "start").agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("record"))
-    whole = named.where(single).select("path", "start", F.col("line").alias("record")).unionByName(several)
-    return whole.withColumn("record", _without_return(F.col("record"))).where(~_blank(F.col("record")))
+    # Broadcast, so that the lines stay where and as they are: one row a block.
+    placed = maps.join(F.broadcast(begins), ["path", "block"])
+    placed = streamed(placed, line.cast("binary").alias("line"), _blank(_without_return(line)).alias("blank"), "begins")
+    pieces = placed.mapInArrow(_pieces, "path string, block long, begun boolean, whole boolean, top boolean, record binary")
+    # Casts from bytes change none.
+    pieces = materialize(pieces.withColumn("record", F.col("record").cast("string")), "records")
+    # A record that a block leaves open goes on in the blocks after it that begin inside.
+    before = Window.partitionBy("path").orderBy("block", "begun").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.last(F.when(F.col("begun"), F.col("block")), ignorenulls=True).over(before)
+    ordered_texts = F.transform(F.sort_array(F.collect_list(F.struct("block", "record"))), lambda x: x["record"])
+    over_edges = pieces.where("NOT whole").withColumn("start", start).groupBy("path", "start").agg(
+        F.max("top").alias("top"), F.array_join(ordered_texts, "\n").alias("record")
+    )
+    whole = pieces.where("whole").select("path", F.col("block").alias("start"), "top", "record").unionByName(over_edges)
+    return whole.withColumn("record", _without_return(F.col("record")))
+
+
+def _runs_of_blocks(batches) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """The batches, cut where another block begins."""
+    for batch in batches:
+        path, block = batch.column("path"), batch.column("block").to_numpy()
+        other = pc.not_equal(path.slice(1), path.slice(0, max(len(path) - 1, 0))).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(other | (block[1:] != block[:-1])) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if low < high:
+                yield (path[low].as_py(), int(block[low])), batch.slice(low, high - low)
+
+
+def _flags(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _after_lines(batch: pa.RecordBatch, state: bool) -> np.ndarray:
+    """The state after each line, given the one before the first."""
+    out, inn = _flags(batch, "out"), _flags(batch, "inn")
+    swaps = np.cumsum(out & ~inn)
+    last = np.maximum.accumulate(np.where(out == inn, np.arange(len(out)), -1))
+    since = swaps - np.where(last >= 0, swaps[last], 0)
+    return np.where(last >= 0, out[last], state) ^ (since % 2 == 1)
+
+
+def _block_maps(batches) -> Iterator[pa.RecordBatch]:
+    """One row a block: the state after its last line, from outside and from inside."""
+
+    def row(key: tuple[str, int], ends: list[bool]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"path": [key[0]], "block": [key[1]], "out": [ends[0]], "inn": [ends[1]]})
+
+    now, ends = None, [False, True]
+    for key, batch in _runs_of_blocks(batches):
+        if key != now:
+            if now:
+                yield row(now, ends)
+            now, ends = key, [False, True]
+        ends = [bool(_after_lines(batch, state)[-1]) for state in ends]
+    if now:
+        yield row(now, ends)
+
+
+def _pieces(batches) -> Iterator[pa.RecordBatch]:
+    """The records of each block that are not blank, and the pieces of those that cross its edges."""
+
+    def rows(key, begun, whole, top, records) -> pa.RecordBatch:
+        n = len(records)
+        columns = [pa.array([key[0]] * n), pa.array([key[1]] * n, pa.int64()), pa.array([begun] * n), pa.array([whole] * n), pa.array(top, pa.bool_()), records]
+        return pa.RecordBatch.from_arrays(columns, names=["path", "block", "begun", "whole", "top", "record"])
+
+    def one(key, begun, whole, top, texts) -> pa.RecordBatch:
+        return rows(key, begun, whole, [top], pa.array([b"\n".join(texts)], pa.binary()))
+
+    # Of the record that is open: its lines so far, whether it began in this block, and as its first one.
+    now, state, texts, begun, top, found = None, False, [], False, False, False
+    for key, batch in _runs_of_blocks(batches):
+        if key != now:
+            if texts:
+                yield one(now, begun, False, top, texts)
+            now, state, texts, begun, top, found = key, batch.column("begins")[0].as_py(), [], False, False, False
+        after = _after_lines(batch, state)
+        starts = np.flatnonzero(~np.append(state, after[:-1]))
+        bounds = np.append(starts, len(after)) if len(starts) and not starts[0] else np.append(np.append(0, starts), len(after))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), batch.column("line")), b"\n")
+        low, high = 0, len(joined) - int(after[-1])
+        if state:  # the first one goes on from the lines before
+            texts.append(joined[0].as_py())
+            low = 1
+            if high:
+                yield one(now, begun, begun, top, texts)
+                texts = []
+        if low < high:
+            # Records of several lines have a quote.
+            kept = (np.diff(bounds) > 1) | ~_flags(batch, "blank")[bounds[:-1]]
+            records = joined.slice(low, high - low).filter(pa.array(kept[low:high]))
+            if len(records):
+                yield rows(now, True, True, [not found, *[False] * (len(records) - 1)], records)
+                found = True
+        if after[-1] and high >= low:
+            texts, begun, top, found = [joined[high].as_py()], True, not found, True
+        state = bool(after[-1])
+    if texts:
+        yield one(now, begun, False, top, texts)
 
 
 def _unpacked(batches) -> Iterator[pa.RecordBatch]:

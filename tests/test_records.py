@@ -178,3 +178,28 @@ def test_too_many_broken_files_fail(spark, tmp_path, monkeypatch):
         (tmp_path / f"{i}.csv.gz").write_bytes(b"broken")
     with pytest.raises(ValueError, match="more than 1 files cannot be read"):
         headed.read_ragged_matrices(spark, str(tmp_path / "*.gz"), "clone", markers=[])
+
+
+def plans_of(monkeypatch):
+    """The plans of the scratch tables that the records module writes from now on, by name."""
+    plans, write = {}, records.materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(records, "materialize", noted)
+    return plans
+
+
+def test_lines_of_quoted_files_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Records are put together where their lines are read; the one that covers several blocks comes out whole."""
+    cell = "\n".join(["one", "", '""two""'] * 200)
+    text = "a,b\n" + "".join(f'{i},"x\n{i}"\n' for i in range(100)) + f'200,"{cell}"\n \n201,"y\r\n"\r\n'
+    (tmp_path / "a.csv").write_text(text, newline="")
+    plans = plans_of(monkeypatch)
+    with small_blocks(spark):
+        found = collected(delimited.read_text_columns(spark, str(tmp_path / "a.csv"), ","))
+    assert found == sorted([*((str(i), f"x\n{i}") for i in range(100)), ("200", cell.replace('""', '"')), ("201", "y\r\n")])
+    for name in ("block-maps", "records"):
+        assert "hashpartitioning" not in plans[name] and "Sort" not in plans[name], name
