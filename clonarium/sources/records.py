@@ -136,11 +136,14 @@ def survey(spark: SparkSession, path: str | list[str], sep: str, without: list[s
 def _summary(lines: DataFrame, sep: str) -> DataFrame:
     # What the scan without header takes for blank: see ``_plain_body``.
     faint = ~F.col("line").rlike(r"[^\x00-\x20]")
+    # The set, of one value at most, makes this an aggregate over objects. That keeps the few blocks of a
+    # task in a map; with a text in the buffer and no such aggregate, Spark would sort all lines instead.
+    faint_lines = F.collect_set(F.when(faint & ~_blank(_without_return(F.col("line"))), True))
     summary = lines.groupBy("path", "block").agg(
         F.sum(F.octet_length("line").cast("long") + 1).alias("n_bytes"),
         F.min(F.when(~faint, F.struct("n", "line"))).alias("_first"),
         F.count_if(ends_inside(F.col("line"), sep)).alias("n_open"),
-        F.count_if(faint & ~_blank(_without_return(F.col("line")))).alias("n_faint"),
+        (F.size(faint_lines) > 0).alias("has_faint"),
     )
     return summary.select("*", F.col("_first.line").alias("first"), F.col("_first.n").alias("first_n")).drop("_first")
 
@@ -158,10 +161,10 @@ def open_files(
 ) -> TextFiles:
     """The records of all files but those ``without``; ``blocks`` is their survey if there is one."""
     blocks = survey(spark, path, sep, without) if blocks is None else blocks
-    totals = blocks.agg(F.sum("n_open").alias("n_open"), F.sum("n_faint").alias("n_faint")).first()
+    totals = blocks.agg(F.sum("n_open").alias("n_open"), F.max("has_faint").alias("has_faint")).first()
     top = blocks.where("first is not null").groupBy("path").agg(F.min_by("first", "block").alias("header"))
     headers = top.withColumn("header", _without_return(F.col("header")))
-    body = _plain_body(spark, path, list(without), has_header, bool(totals["n_faint"]))
+    body = _plain_body(spark, path, list(without), has_header, bool(totals["has_faint"]))
     files = TextFiles(headers, body)
     return _with_stitched(files, blocks, _lines(spark, path, list(without)), sep, has_header) if totals["n_open"] else files
 

@@ -203,3 +203,11 @@ def test_lines_of_quoted_files_are_not_shuffled(spark, tmp_path, monkeypatch):
     assert found == sorted([*((str(i), f"x\n{i}") for i in range(100)), ("200", cell.replace('""', '"')), ("201", "y\r\n")])
     for name in ("block-maps", "records"):
         assert "hashpartitioning" not in plans[name] and "Sort" not in plans[name], name
+
+
+def test_the_survey_sorts_no_lines(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.tsv").write_text("\n \nx\ty\n1\t2\n\x01\n")
+    plans = plans_of(monkeypatch)
+    found = records.survey(spark, str(tmp_path / "a.tsv"), "\t").first()
+    assert "Sort" not in plans["survey"]
+    assert (found.n_bytes, found.first, found.n_open, found.has_faint) == (13, "x\ty", 0, True)
