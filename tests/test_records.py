@@ -211,3 +211,22 @@ def test_the_survey_sorts_no_lines(spark, tmp_path, monkeypatch):
     found = records.survey(spark, str(tmp_path / "a.tsv"), "\t").first()
     assert "Sort" not in plans["survey"]
     assert (found.n_bytes, found.first, found.n_open, found.has_faint) == (13, "x\ty", 0, True)
+
+
+def test_the_lines_of_matrices_are_not_sorted(spark, tmp_path, monkeypatch):
+    """Of several reasons, the first in alphabetical order, found without a sort of the lines."""
+    texts = {"a": "clone,s\n1,2,3\n1,x\n1\n", "b": "clone,s\n1\n1,2,3\n", "c": "clone,s\n1\n", "d": "clone,s\n1,2\n"}
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "t.csv").write_text(text)
+    plans, write = {}, headed.materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(headed, "materialize", noted)
+    _, rejects = headed.read_ragged_matrices(spark, str(tmp_path / "*/t.csv"), "clone", markers=[])
+    found = {r.path.split("/")[-2]: r.reason for r in rejects.collect()}
+    assert found == dict(zip("abc", headed.LINE_REASONS, strict=True))
+    assert "SortAggregate" not in plans["rejects"]
