@@ -444,3 +444,19 @@ def test_each_source_file_has_its_own_digest(spark, tmp_path):
     found = files.source_files(Tables(spark, str(tmp_path))).collect()
     assert len(found) == len(parts) >= 5
     assert {tuple(r) for r in found} == wanted
+
+
+def test_scores_are_read_by_file_and_reduced_without_a_sort(spark, tmp_path):
+    """A file's columns are found once, not for each line; known labels are compared by place."""
+    for name, text in {"LTX1_tumour1": "var\tchr\tpos\talpha_missense\tam_class\nA\tchr1\t5\t0.5\tLikely pathogenic\n"
+                       "A\t1\t5\tNA\tambiguous\n", "LTX2_tumour01": "pos\tchr\tam_class\tvar\talpha_missense\n7\tM\todd\tT\t1\n"}.items():
+        (tmp_path / f"{name}_muttable_alpha.tsv").write_text(text)
+    (tmp_path / "other.tsv").write_text("x\n1\n")
+    found = tables.variant_scores(spark, str(tmp_path / "*.tsv"))
+    assert sorted(map(tuple, found.collect())) == [
+        ("LTX1-Tumour1", "1", 5, "A", 0.5, "ambiguous"), ("LTX2-Tumour1", "MT", 7, "T", 1.0, None)
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "SortAggregate" not in plan
+    # The plan's steps come last first: columns are looked for below the join with the files.
+    assert "array_except" in plan and plan.index("Join") < plan.index("array_except")
