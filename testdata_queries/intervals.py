@@ -202,6 +202,6 @@ def liftover_mutation_ids(t):
 """)
 def liftover_coverage(t):
     mutations, blocks = _lift_input(t)
-    lookup = liftover.lift_loci(mutations, blocks)
+    lookup = materialize(liftover.lift_loci(mutations, blocks), "lookup")  # read twice
     coverage = liftover.mapping_coverage(lookup, liftover.lifted_mutations(mutations, lookup))
     return coverage.withColumns({c: F.round(c, 3) for c in ("pct_loci", "pct_rows")})

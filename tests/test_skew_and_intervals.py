@@ -12,6 +12,8 @@ from clonarium.operators.skew import lookup_join
 from clonarium.operators.sweep import sweep_join
 from clonarium.session import job_settings
 from clonarium.sources.chain import read_chain
+from testdata_queries import intervals as queries
+from testdata_queries.registry import Tables
 
 
 @pytest.fixture(scope="module")
@@ -237,3 +239,13 @@ def test_liftover_through_a_chain_file(spark, rows, tmp_path):
     assert rows(lift_loci(loci, blocks), "chr", "pos", "new_chr", "new_pos") == [
         ("1", 101, "2", 41), ("1", 120, "2", 60), ("1", 125, None, None), ("1", 131, "2", 66), ("X", 3, "X", 148),
     ]
+
+
+def test_the_lookup_of_a_coverage_is_computed_once(spark, tmp_path):
+    spark.sql("SELECT 1L AS l_orderkey, explode(array(2L, 35L)) AS l_partkey, 3L AS l_suppkey, 1 AS l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT 3L AS p_partkey, 7 AS p_size UNION ALL SELECT 33L, 7").write.parquet(str(tmp_path / "part.parquet"))
+    found = queries.liftover_coverage(Tables(spark, str(tmp_path)))
+    # Of loci 3:113 and 3:1763, only the latter lies in a block, that of part 33.
+    assert [tuple(r) for r in found.collect()] == [(2, 1, 2, 1, 50.0, 50.0)]
+    # The sweep's work is in the scratch table that both counts read.
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
