@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,16 @@ def best_score_per_variant(
     return best.withColumn(label, F.get(texts, F.col(label).cast("int") - 1))
 
 
+def least_text(text: Column) -> Column:
+    """The least text of a group, for a few dozen groups of many rows.
+
+    The set, of one value at most, makes the aggregate one over objects, which keeps its groups in a map.
+    With a text in the buffer and no such aggregate, Spark sorts all rows of a task.
+    """
+    nulls = F.collect_set(F.when(text.isNull(), True))
+    return F.when(F.size(nulls) <= 1, F.min(text))
+
+
 def gene_extents(transcripts: DataFrame, order: str = "line_no") -> DataFrame:
     """One row per gene and chromosome: outer bounds, strand of the first transcript."""
     return transcripts.groupBy("gene_name", "chromosome").agg(

@@ -51,7 +51,7 @@ def _mutation_file(t):
 def job_mutations(t):
     built = tables.mutations(t.spark, _mutation_file(t), partitions=16)
     return built.groupBy("chr", "clone", "alt", "tumour_ordinal", "is_present").agg(
-        F.min("tumour_id").alias("first_tumour"),
+        aggregates.least_text(F.col("tumour_id")).alias("first_tumour"),
         F.sum("var_count").alias("reads"),
         F.count("vaf").alias("n_vaf"),
         F.count(F.lit(1)).alias("n_rows"),

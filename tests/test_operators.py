@@ -219,3 +219,10 @@ def test_filters_are_pushed_to_the_scan(spark, tmp_path):
     cn.write.parquet(path)
     plan = filtered(spark.read.parquet(path), "copy_number", "homdel")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(pred_CN_A,0)" in plan
+
+
+def test_least_text_sorts_no_rows(spark):
+    df = spark.createDataFrame([(1, "b"), (1, None), (1, "a"), (2, None), (3, "10"), (3, "9")], "k int, t string")
+    found = df.groupBy("k").agg(aggregates.least_text(F.col("t")).alias("t"))
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, "a"), (2, None), (3, "10")]
