@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clonarium.operators import intervals
-from clonarium.operators.liftover import lift_loci, lifted_mutations, mapping_coverage
+from clonarium.operators.liftover import lift_loci, lift_mapped_loci, lifted_mutations, mapping_coverage
 from clonarium.operators.skew import lookup_join
 from clonarium.operators.sweep import sweep_join
 from clonarium.session import job_settings
@@ -249,3 +249,23 @@ def test_the_lookup_of_a_coverage_is_computed_once(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [(2, 1, 2, 1, 50.0, 50.0)]
     # The sweep's work is in the scratch table that both counts read.
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loci_are_lifted_once_and_joined_by_position_first(spark, rows):
+    """Loci without a block take no part in the join; positions, not names, are what rows are sorted by."""
+    loci = [("7", 101), ("chr7", 101), ("7", 150), ("7", 500), ("X", 101), (None, 101), ("7", None)]
+    mutations = spark.createDataFrame(
+        [(f"LTX1_{i}:x", c, p, "A", "T") for i, (c, p) in enumerate(loci * 2)], "mutation_id string, chr string, pos long, ref string, alt string"
+    )
+    blocks = spark.createDataFrame(
+        [("chr7", 100, 160, "chr8", 900, "+", 1.0), ("chr7", 140, 170, "chr9", 300, "-", 2.0), ("chr7", 140, 170, "chr5", 10, "+", 2.0)],
+        "chr string, block_start long, block_end long, new_chr string, new_start long, strand string, score double",
+    )
+    mapped = lift_mapped_loci(mutations, blocks)
+    assert rows(mapped, "chr", "pos", "new_chr", "new_pos") == [("7", 101, "8", 901), ("7", 150, "5", 20), ("chr7", 101, "8", 901)]
+    whole = lift_loci(mutations, blocks)
+    assert whole.count() == len(loci) and rows(whole.where("new_pos is not null")) == rows(mapped.select(whole.columns))
+    lifted = lifted_mutations(mutations, mapped)
+    assert rows(lifted) == rows(lifted_mutations(mutations, whole)) and lifted.count() == 2 * len(loci)
+    above_the_sweep = lifted._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0]
+    assert "Union" not in above_the_sweep and "Aggregate [pos" in above_the_sweep
