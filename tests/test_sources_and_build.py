@@ -6,8 +6,9 @@ import json
 
 import pytest
 
+from clonarium.operators import joins
 from clonarium.operators.quality import CheckFailed
-from clonarium.plans import tables
+from clonarium.plans import build, tables
 from clonarium.plans.build import Sources, build_store, check_store
 from clonarium.plans.contracts import CONTRACTS, type_mismatches
 from clonarium.sources import delimited, headed
@@ -460,3 +461,45 @@ def test_scores_are_read_by_file_and_reduced_without_a_sort(spark, tmp_path):
     assert "SortAggregate" not in plan
     # The plan's steps come last first: columns are looked for below the join with the files.
     assert "array_except" in plan and plan.index("Join") < plan.index("array_except")
+
+
+def test_a_computed_table_is_written_before_its_ranges_are_bounded(spark, sources, tmp_path, monkeypatch):
+    """The bounds take a pass of their own, which must not compute the table."""
+    plans, write = {}, build.write_table
+
+    def recorded(df, store, table, key=()):
+        plans[table] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, store, table, key)
+
+    monkeypatch.setattr(build, "write_table", recorded)
+    build_store(spark, Sources(crosswalk=sources.crosswalk, drivers=sources.drivers), str(tmp_path / "store"))
+    assert set(plans) == {"id_crosswalk", "drivers"}
+    assert all(p.startswith("Relation") for p in plans.values())
+
+
+def test_sample_names_are_taken_apart_once(spark, rows):
+    counts = spark.createDataFrame([("G1", 1.0, 2.0, 3.0), ("G2", 4.0, 5.0, None)], "gene_id string, `LTX1_SU_T1-R2--0a` double, `LTX1_SU_N01--0b` double, `odd.name` double")
+    found = joins.expression_from_matrices(counts, counts)
+    assert rows(found, "sample_name_hash", "patient_id", "is_normal", "tumour_ordinal", "region_ordinal", "gene_id", "counts", "tpm") == [
+        ("LTX1_SU_N01--0b", "LTX1", True, None, None, "G1", 2.0, 2.0), ("LTX1_SU_N01--0b", "LTX1", True, None, None, "G2", 5.0, 5.0),
+        ("LTX1_SU_T1-R2--0a", "LTX1", False, 1, 2, "G1", 1.0, 1.0), ("LTX1_SU_T1-R2--0a", "LTX1", False, 1, 2, "G2", 4.0, 4.0),
+        ("odd.name", None, None, None, None, "G1", 3.0, 3.0), ("odd.name", None, None, None, None, "G2", None, None),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and plan.index("Join Inner") < plan.index("RLIKE")
+
+
+def test_a_bundle_id_is_translated_once(spark, rows, tmp_path, monkeypatch):
+    crosswalk = spark.createDataFrame([("LTX7", "CRUK8")], "ltx_patient_id string, cruk_patient_id string")
+    cells = {"regions": ["R1", "R2"], "clones": ["1"], "ccf": [[3, 4]], "clonality": [["clonal", "absent"]]}
+    bundles = [{"sample_id": "CRUK8_1", **cells}, {"sample_id": "CRUK9_1", "regions": ["R"], "clones": [], "ccf": [], "clonality": []}]
+    (tmp_path / "b.json").write_text("\n".join(map(json.dumps, bundles)))
+    given, translate = [], tables.with_convention
+    monkeypatch.setattr(tables, "with_convention", lambda df, *rest: given.append(df.columns) or translate(df, *rest))
+    ccf, clonality, _ = tables.region_tables(spark, str(tmp_path / "b.json"), crosswalk)
+    assert rows(ccf) == [("LTX7-Tumour1", "clone1", "R1", 3), ("LTX7-Tumour1", "clone1", "R2", 4)]
+    assert rows(clonality, "tumour_id", "region", "clonality") == [("LTX7-Tumour1", "R1", "clonal"), ("LTX7-Tumour1", "R2", "absent")]
+    assert len(given) == 1 and "ccf" in given[0]
+    (tmp_path / "c.json").write_text(json.dumps({**bundles[0], "clones": None}))
+    with pytest.raises(Exception, match="matrix without row or column names"):
+        tables.region_tables(spark, str(tmp_path / "c.json"), crosswalk)
