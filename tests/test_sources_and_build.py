@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import json
+import random
+from urllib.parse import unquote
 
 import pytest
 
@@ -273,6 +275,41 @@ def test_provenance(spark, store, sources):
         source_provenance(spark, sources.drivers, "md5")
 
 
+def test_large_files_are_hashed_by_tasks_that_read_a_split_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "WHOLE_BYTES", 1000, raising=False)
+    noise = random.Random(5).randbytes(20_000)
+    mark = b"\xef\xbb\xbf"
+    contents = {
+        "noise": noise, "ended": noise + b"\n", "two ends": noise + b"\n\n", "marked": mark + noise, "marked ended": mark + b"\n" + noise + b"\n",
+        "marked twice": mark + mark + noise, "feeds": b"\n" * 10_000, "returns": b"a\r\nb\r" * 2_000 + b"\r\n",
+        "no line [1-2]{a,b}*%20 é": noise.replace(b"\n", b""), "long lines": (b"x" * 9_000 + b"\n") * 3,
+        "zeros": bytes(20_000), "just over": b"y" * 1001, "small": b"z" * 1000,
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    spark.range(5000).write.parquet(f"{tmp_path}/table.parquet")
+    contents |= {f.name: f.read_bytes() for f in tmp_path.glob("table.parquet/*.parquet")}
+    small = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "4096", "spark.sql.sources.binaryFile.maxLength": "1000"}
+    before = {name: str(spark.conf.get(name)) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        # Any larger file that one task takes whole now fails.
+        found = source_provenance(spark, [str(tmp_path), f"{tmp_path}/table.parquet"]).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(found) == len(contents) >= 14
+    wanted = {name: (len(content), hashlib.sha256(content).hexdigest()) for name, content in contents.items()}
+    assert {unquote(r.path).rsplit("/", 1)[1]: (r.n_bytes, r.digest) for r in found} == wanted
+    times = {f.name: f.stat().st_mtime for f in [*tmp_path.iterdir(), *tmp_path.glob("table.parquet/*")]}
+    assert all(abs(r.modified.timestamp() - times[unquote(r.path).rsplit("/", 1)[1]]) < 1 for r in found)
+    # A packed file is hashed as it lies there.
+    (tmp_path / "packed [2].gz").write_bytes(gzip.compress(noise))
+    [packed] = source_provenance(spark, f"{tmp_path}/packed*").collect()
+    assert packed.digest == hashlib.sha256((tmp_path / "packed [2].gz").read_bytes()).hexdigest()
+
+
 def test_tree_digest_knows_the_order_of_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(stores, "RANGE_LINES", 100)
     lines = [f"line {i % 700} " + "x" * (i % 90) for i in range(2000)] + [""]
