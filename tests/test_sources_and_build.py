@@ -484,6 +484,19 @@ def test_each_source_file_has_its_own_digest(spark, tmp_path):
     assert {tuple(r) for r in found} == wanted
 
 
+def test_tables_of_large_files_have_their_provenance(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "WHOLE_BYTES", 1000, raising=False)
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_path}/large.parquet")
+    (tmp_path / "small.parquet").write_bytes(b"one file")
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    try:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+        found = files.source_provenance(Tables(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(before))
+    assert sorted(map(tuple, found)) == [("large", 64, True), ("small", 64, True)]
+
+
 def test_scores_are_read_by_file_and_reduced_without_a_sort(spark, tmp_path):
     """A file's columns are found once, not for each line; known labels are compared by place."""
     for name, text in {"LTX1_tumour1": "var\tchr\tpos\talpha_missense\tam_class\nA\tchr1\t5\t0.5\tLikely pathogenic\n"
