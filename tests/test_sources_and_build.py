@@ -13,7 +13,7 @@ from clonarium.operators.quality import CheckFailed
 from clonarium.plans import build, tables
 from clonarium.plans.build import Sources, build_store, check_store
 from clonarium.plans.contracts import CONTRACTS, type_mismatches
-from clonarium.sources import delimited, headed
+from clonarium.sources import delimited, digests, headed
 from clonarium.sources import store as stores
 from clonarium.sources.store import current_root, read_table, source_provenance, write_table
 from testdata_queries import files, jobs
@@ -497,6 +497,39 @@ def test_tables_of_large_files_have_their_provenance(spark, tmp_path, monkeypatc
     assert sorted(map(tuple, found)) == [("large", 64, True), ("small", 64, True)]
 
 
+def test_what_a_task_hashes_does_not_grow_with_the_file(spark, tmp_path, monkeypatch):
+    taken_up, most = digests._taken_up, 8192
+
+    def bounded(states):
+        go_on = taken_up(states)
+
+        def within(split, parts):
+            for number, state in go_on(split, parts):
+                assert state[1] - states[number][1] <= most
+                yield number, state
+
+        return within
+
+    monkeypatch.setattr(stores, "WHOLE_BYTES", 1000)
+    monkeypatch.setattr(digests, "_taken_up", bounded)
+    contents = {name: random.Random(7).randbytes(n) for name, n in (("small", 12_000), ("large", 48_000))}
+    for name, content in contents.items():
+        (tmp_path / f"{name}.parquet").write_bytes(content)
+    split = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "4096", "spark.sql.sources.binaryFile.maxLength": "1000"}
+    before = {name: str(spark.conf.get(name)) for name in split}
+    try:
+        for name, value in split.items():
+            spark.conf.set(name, value)
+        found = files.source_provenance(Tables(spark, str(tmp_path))).collect()
+        sums = files.source_files(Tables(spark, str(tmp_path))).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(map(tuple, found)) == [("large", 64, True), ("small", 64, True)]
+    wanted = {(f"{name}.parquet", len(content), hashlib.sha256(content).hexdigest()) for name, content in contents.items()}
+    assert {tuple(r) for r in sums} == wanted
+
+
 def test_scores_are_read_by_file_and_reduced_without_a_sort(spark, tmp_path):
     """A file's columns are found once, not for each line; known labels are compared by place."""
     for name, text in {"LTX1_tumour1": "var\tchr\tpos\talpha_missense\tam_class\nA\tchr1\t5\t0.5\tLikely pathogenic\n"
