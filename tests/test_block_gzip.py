@@ -93,3 +93,49 @@ def test_damage_fails(spark, tmp_path):
         delimited.read_delimited(spark, str(tmp_path / "a.tsv.gz"), {"x": "string"}, partitions=2).collect()
     (tmp_path / "a.tsv.gz").write_bytes(content[:-60])
     assert blockgzip.block_gzip_files(spark, str(tmp_path / "a.tsv.gz")) == []
+
+
+def test_no_row_holds_a_file(spark, tmp_path):
+    """Files that no task may read whole are looked through, cut and read all the same."""
+    drawn = random.Random(6)
+    text = b"x\n" + b"".join(b"%x\n" % drawn.getrandbits(200) for _ in range(3000))
+    whole = block_gzip(text, 1000)
+    files = {"a.tsv.gz": whole, "B.GZ": whole, "plain.tsv.gz": gzip.compress(text), "begun.tsv.gz": whole + gzip.compress(text[2:])}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    # What would be one byte too many for a reader of lines, and sizes that lead past the end.
+    (tmp_path / "feed.tsv.gz").write_bytes(whole + b"\n")
+    (tmp_path / "short.tsv.gz").write_bytes(whole[:-1])
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    try:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+        found = blockgzip.block_gzip_files(spark, str(tmp_path))
+        assert sorted(p.rsplit("/")[-1] for p in found) == ["B.GZ", "a.tsv.gz"]
+        paths = [str(tmp_path / name) for name in files]
+        read = delimited.read_delimited(spark, paths, {"x": "string"}, partitions=4).collect()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(before))
+    assert sorted(r.x for r in read) == sorted(text.decode().split()[1:] * 5)
+
+
+def test_runs_of_a_file_that_comes_in_parts():
+    drawn = random.Random(7)
+    members = [member(drawn.randbytes(drawn.choice([0, 9, 300])), extra=drawn.choice([b"", b"XY\x03\x00abc"])) for _ in range(40)]
+    whole = b"".join(members)
+
+    def in_parts(content, largest):
+        at = 0
+        while at < len(content):
+            n = drawn.randint(0, largest)
+            yield content[at : at + n]
+            at += n
+
+    for largest in (1, 50, 100_000):
+        for n in (1, 3, 39, 40, 256):
+            wanted = [b"".join(members[i : i + n]) for i in range(0, 40, n)]
+            assert list(blockgzip._runs(in_parts(whole, largest), n)) == wanted
+        for wrong in (whole[:-1], whole + b"\n", whole + b"\x1f\x8b\x08\x04", b"\n" + whole, b""):
+            assert list(blockgzip._runs(in_parts(wrong, largest), 256))[-1] is None
+    # A run is handed on once it is there, and a header that fills its bytes.
+    wide = [member(b"text", extra=b"XY" + struct.pack("<H", 60_000) + bytes(60_000))] * 9
+    assert list(blockgzip._runs(in_parts(b"".join(wide), 999), 2)) == [b"".join(wide[i : i + 2]) for i in range(0, 9, 2)]

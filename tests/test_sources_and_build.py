@@ -1,5 +1,6 @@
 """Builds from small source files in the formats of the cohort release."""
 
+import bz2
 import gzip
 import hashlib
 import json
@@ -530,6 +531,29 @@ def test_what_a_task_hashes_does_not_grow_with_the_file(spark, tmp_path, monkeyp
     assert {tuple(r) for r in sums} == wanted
 
 
+def test_packed_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "WHOLE_BYTES", 1000)
+    noise = random.Random(8).randbytes(20_000)
+    contents = {
+        "packed [2]{a}.gz": gzip.compress(noise), "PACKED.GZ": gzip.compress(noise), "packed.bz2": bz2.compress(noise), "no gzip.gz": noise + b"\n\n",
+        "marked.gz": b"\xef\xbb\xbf" + noise, "feeds.deflate": b"\n" * 2000, "one line.gz": noise.replace(b"\n", b""), "small.gz": gzip.compress(b"a"), "plain": noise,
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    small = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "4096", "spark.sql.sources.binaryFile.maxLength": "1000"}
+    before = {name: str(spark.conf.get(name)) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        # A larger file that a task takes as a row now fails.
+        found = source_provenance(spark, str(tmp_path)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    wanted = {name: (len(content), hashlib.sha256(content).hexdigest()) for name, content in contents.items()}
+    assert {unquote(r.path).rsplit("/", 1)[1]: (r.n_bytes, r.digest) for r in found} == wanted
+
+
 def test_scores_are_read_by_file_and_reduced_without_a_sort(spark, tmp_path):
     """A file's columns are found once, not for each line; known labels are compared by place."""
     for name, text in {"LTX1_tumour1": "var\tchr\tpos\talpha_missense\tam_class\nA\tchr1\t5\t0.5\tLikely pathogenic\n"
